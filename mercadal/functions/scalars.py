@@ -12,6 +12,11 @@ EXACT = "decimal(24,6)"
 STAMP_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
 
 
+def half_up(col: Column, digits: int) -> Column:
+    """Decimal half-up rounding of a double; binary noise below 1e-8 is no tie-breaker."""
+    return F.round(col.try_cast("decimal(38,8)"), digits).cast("double")
+
+
 def exact_sum(col: Column) -> Column:
     return F.sum(col.cast(EXACT)).cast("double")
 
@@ -23,7 +28,7 @@ def exact_mean(col: Column) -> Column:
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     """``part / whole * 100``, null when the whole is zero."""
     part, whole = part.cast("double"), whole.cast("double")
-    return F.round(part * F.lit(100.0) / F.nullif(whole, F.lit(0.0)), digits)
+    return half_up(part * F.lit(100.0) / F.nullif(whole, F.lit(0.0)), digits)
 
 
 def lenient_number(col: Column) -> Column:
@@ -71,7 +76,7 @@ def labelled_id(prefix: str, number: Column, width: int) -> Column:
 
 
 def cents(col: Column) -> Column:
-    return F.round(col, 2)
+    return half_up(col, 2)
 
 
 def thousands(col: Column) -> Column:

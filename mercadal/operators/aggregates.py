@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercadal.functions.scalars import exact_mean, percent
+from mercadal.functions.scalars import exact_mean, half_up, percent
 
 
 def without_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -115,7 +115,7 @@ def behaviour_by(
         .agg(
             F.count(session).alias("num_sessions"),
             distinct.alias("unique_sessions"),
-            F.round(exact_mean(F.col(duration)), 2).alias("mean_duration"),
+            half_up(exact_mean(F.col(duration)), 2).alias("mean_duration"),
             F.max(duration).alias("max_duration"),
             F.count_if(F.col(kind) == bought).alias("num_purchases"),
         )

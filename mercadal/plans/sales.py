@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercadal.functions.scalars import month_key, weekday_name, weekday_number
+from mercadal.functions.scalars import half_up, month_key, weekday_name, weekday_number
 from mercadal.operators.aggregates import pivot_sum, share_of_total, top_k
 
 TOTAL = "decimal(12,2)"
@@ -24,7 +24,7 @@ def _revenue(digits: int):
 
 def _ticket(digits: int):
     mean = F.sum(F.col("total").cast(TOTAL)).cast("double") / F.count("total")
-    return F.round(mean, digits)
+    return half_up(mean, digits)
 
 
 def resumen_general(sales: DataFrame) -> DataFrame:
@@ -135,7 +135,7 @@ def reporte_diario(sales: DataFrame, products: DataFrame) -> DataFrame:
             F.sum("_n").alias("num_ventas"),
             F.sum("_u").alias("unidades_vendidas"),
             F.round(F.sum("_t"), 2).cast("double").alias("ingresos_totales"),
-            F.round(F.sum("_t").cast("double") / F.sum("_n"), 2).alias("ticket_promedio"),
+            half_up(F.sum("_t").cast("double") / F.sum("_n"), 2).alias("ticket_promedio"),
         )
     )
 
