@@ -7,94 +7,90 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# At most this many key hashes are ever treated as hot, which bounds the hot
-# side of every broadcast below. A key holding 1/HOT_KEYS of the rows or more
-# is sure to be reported by a sketch tracking SKETCH_ITEMS items.
+# The sketch reports at most this many key hashes, which bounds every broadcast
+# below; a key with more than 1/HOT_KEYS of the rows is sure to be among them.
 HOT_KEYS = 256
 SKETCH_ITEMS = 8192
-SALTS = 4096
+# A key is split so that no piece holds much more than 1/PIECES of the rows.
+PIECES = 4096
 
 
 def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality on every key."""
-    condition = None
-    for key in keys:
-        term = left[key].eqNullSafe(right[key])
-        condition = term if condition is None else condition & term
-    return condition
-
-
 def hot_hashes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Hashes of the most frequent keys, at most ``HOT_KEYS`` rows.
+    """Hashes of the frequent keys with the number of pieces each is split in.
 
-    A mergeable frequent-items sketch: one narrow pass, no shuffle by key.
-    Over- or under-reporting only moves rows between two exact join routes.
+    A mergeable frequent-items sketch: one narrow pass, no shuffle by key. The
+    counts are estimates, which is harmless: any split gives the same result.
     """
     sketch = F.expr(f"approx_top_k(_h, {HOT_KEYS}, {SKETCH_ITEMS})")
-    top = df.select(key_hash(keys).alias("_h")).agg(sketch.alias("_top"))
-    return top.select(F.explode("_top").alias("_t")).select(F.col("_t.item").alias("_hot"))
+    seen = df.select(key_hash(keys).alias("_h")).agg(
+        sketch.alias("_top"), F.count(F.lit(1)).alias("_all")
+    )
+    share = F.col("_t.count") / F.col("_all")
+    return (
+        seen.select("_all", F.explode("_top").alias("_t"))
+        .where(share * PIECES > 1)
+        .select(F.col("_t.item").alias("_hot"), F.ceil(share * PIECES).alias("_pieces"))
+    )
 
 
 def lookup_join(
-    fact: DataFrame, lookup: DataFrame, keys: Sequence[str], payload: Sequence[str]
+    fact: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    payload: Sequence[str],
+    key_source: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of ``fact`` with ``lookup``, which is unique on ``keys``.
 
     Keys compare null-safe; ``payload`` columns are null without a match. Rows
-    of hot keys find their match in a broadcast of at most ``HOT_KEYS`` rows
-    and are spread over ``SALTS`` values in the shuffled join, where they match
-    nothing. All other rows take the shuffled join, which AQE turns into a
-    broadcast when the lookup proves small.
+    of a frequent key are dealt out over its pieces and its lookup row is
+    repeated once per piece, ``PIECES + HOT_KEYS`` repetitions at most in all.
+    AQE turns the join into a broadcast when the lookup proves small.
+    ``key_source`` is a frame with the same keys that is cheaper to scan than
+    ``fact``.
     """
     keys, payload = list(keys), list(payload)
-    hot = hot_hashes(fact, keys)
-    narrow = lookup.select(*keys, F.struct(*payload).alias("_payload"))
-
-    hashed = narrow.withColumn("_lh", key_hash(keys))
-    found = hashed.join(F.broadcast(hot), hashed["_lh"] == hot["_hot"], "inner").select(
-        F.col("_hot").alias("_found"),
-        F.lit(True).alias("_present"),
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.col("_payload").alias("_hot_payload"),
-    )
-    hot_side = hot.join(F.broadcast(found), F.col("_hot") == F.col("_found"), "left").drop(
-        "_found"
+    hot = F.broadcast(hot_hashes(fact if key_source is None else key_source, keys))
+    pieces = F.coalesce(F.col("_pieces"), F.lit(1))
+
+    dealt = F.pmod(F.monotonically_increasing_id(), pieces)
+    rows = (
+        fact.withColumn("_h", key_hash(keys))
+        .join(hot, F.col("_h") == F.col("_hot"), "left")
+        .withColumn("_route", F.xxhash64("_h", dealt))
     )
-
-    rows = fact.withColumn("_h", key_hash(keys))
-    is_same = F.col("_present").isNull()
-    all_equal = F.lit(True)
-    for key in keys:
-        all_equal = all_equal & rows[key].eqNullSafe(hot_side[f"_k_{key}"])
-    routed = rows.join(
-        F.broadcast(hot_side), (F.col("_h") == F.col("_hot")) & (is_same | all_equal), "left"
-    )
-    is_hot = F.col("_hot").isNotNull()
-    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))
-    routed = routed.withColumn(
-        "_route", F.when(is_hot, F.xxhash64("_h", salt)).otherwise(F.col("_h"))
-    )
-
-    cold = narrow.select(
-        key_hash(keys).alias("_cold_route"),
-        *[F.col(k).alias(f"_c_{k}") for k in keys],
-        F.col("_payload").alias("_cold_payload"),
+    copies = (
+        lookup.select(
+            key_hash(keys).alias("_h"),
+            *[F.col(k).alias(f"_c_{k}") for k in keys],
+            *[F.col(p).alias(f"_p_{p}") for p in payload],
+        )
+        .join(hot, F.col("_h") == F.col("_hot"), "left")
+        .withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), pieces - F.lit(1))))
+        .select(
+            F.xxhash64("_h", "_piece").alias("_copy_route"),
+            *[f"_c_{k}" for k in keys],
+            *[f"_p_{p}" for p in payload],
+        )
     )
-    condition = F.col("_route") == F.col("_cold_route")
+    condition = F.col("_route") == F.col("_copy_route")
     for key in keys:
-        condition = condition & routed[key].eqNullSafe(cold[f"_c_{key}"])
-    joined = routed.join(cold, condition, "left")
-    chosen = F.when(is_hot, F.col("_hot_payload")).otherwise(F.col("_cold_payload"))
-    joined = joined.withColumn("_chosen", chosen)
-    return joined.select(*fact.columns, *[F.col(f"_chosen.{p}").alias(p) for p in payload])
+        condition = condition & F.col(key).eqNullSafe(F.col(f"_c_{key}"))
+    joined = rows.join(copies, condition, "left")
+    return joined.select(*fact.columns, *[F.col(f"_p_{p}").alias(p) for p in payload])
 
 
 def with_membership(
-    fact: DataFrame, members: DataFrame, fact_key: str, member_key: str, out: str
+    fact: DataFrame,
+    members: DataFrame,
+    fact_key: str,
+    member_key: str,
+    out: str,
+    key_source: DataFrame | None = None,
 ) -> DataFrame:
     """Boolean column: does the key occur in ``members``? Null keys do not."""
     known = (
@@ -103,7 +99,7 @@ def with_membership(
         .distinct()
         .withColumn(out, F.lit(True))
     )
-    joined = lookup_join(fact, known, [fact_key], [out])
+    joined = lookup_join(fact, known, [fact_key], [out], key_source)
     return joined.withColumn(out, F.coalesce(F.col(out), F.lit(False)))
 
 

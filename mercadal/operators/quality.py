@@ -3,24 +3,38 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercadal.functions.scalars import exact_mean, percent
 from mercadal.operators.rules import DROP, Context, Rule
+from mercadal.session import materialize
 
 
 @dataclass(frozen=True)
 class QualityResult:
-    """All four frames are lazy; ``report`` and ``stats`` each take one scan
-    of the columns their rules touch."""
+    """Lazy frames of one rule set. ``summary`` is one row that both the report
+    and the statistics are unfolded from; it takes a single scan of the columns
+    the rules touch."""
 
     flagged: DataFrame
     clean: DataFrame
-    report: DataFrame
-    stats: DataFrame
+    summary: DataFrame
+    rules: Sequence[Rule]
+
+    @property
+    def report(self) -> DataFrame:
+        return violation_report(self.summary, self.rules)
+
+    @property
+    def stats(self) -> DataFrame:
+        return dataset_stats(self.summary)
+
+    def stored(self) -> QualityResult:
+        """The same result with the summary computed once and kept."""
+        return replace(self, summary=materialize(self.summary.coalesce(1), "summary"))
 
 
 def apply_rules(
@@ -32,7 +46,7 @@ def apply_rules(
 ) -> QualityResult:
     """Evaluates every rule on the raw rows and filters once at the end, so the
     later copies of a key go even when its first copy is dropped by another rule."""
-    context = Context(as_of, refs or {})
+    context = Context(as_of, refs or {}, df)
     flagged = df
     for rule in rules:
         flagged = rule.flag_builder(flagged, context, rule.flag)
@@ -42,24 +56,32 @@ def apply_rules(
             bad = bad | F.col(rule.flag)
     flagged = flagged.withColumn("_rejected", bad)
     clean = flagged.where(~F.col("_rejected")).select(*df.columns)
-    return QualityResult(
-        flagged, clean, violation_report(flagged, rules), dataset_stats(flagged, stats_column)
-    )
+    return QualityResult(flagged, clean, summarize(flagged, rules, stats_column), rules)
 
 
-def violation_report(flagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """One row per rule, in rule order, from a single aggregate."""
-    notes = {r.id: r.note for r in rules if r.note in flagged.columns}
-    counts = flagged.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.count_if(F.col(r.flag)).alias(r.flag) for r in rules],
-        *[F.max(name).alias(name) for name in notes.values()],
-    )
+def summarize(flagged: DataFrame, rules: Sequence[Rule], column: str | None = None) -> DataFrame:
+    """One row: rows in and out, violations per rule, notes, measures of ``column``."""
+    kept = ~F.col("_rejected")
+    measures = [F.count(F.lit(1)).alias("rows_in"), F.count_if(kept).alias("rows_out")]
+    measures += [F.count_if(F.col(r.flag)).alias(r.flag) for r in rules]
+    measures += [F.max(r.note).alias(r.note) for r in rules if r.note in flagged.columns]
+    if column:
+        value = F.when(kept, F.col(column))
+        measures += [
+            F.min(value).alias("min_value"),
+            F.max(value).alias("max_value"),
+            exact_mean(value).alias("mean_value"),
+        ]
+    return flagged.agg(*measures)
+
+
+def violation_report(summary: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """One row per rule, in rule order, with the action the rule really takes."""
 
     def entry(rule: Rule):
         text = F.lit(rule.description)
-        if rule.id in notes:
-            limit = F.coalesce(F.col(notes[rule.id]), F.lit(float("nan")))
+        if rule.note in summary.columns:
+            limit = F.coalesce(F.col(rule.note), F.lit(float("nan")))
             text = F.concat(text, F.format_string(" (> %.2f)", limit))
         return F.struct(
             F.lit(rule.id).alias("rule"),
@@ -68,34 +90,22 @@ def violation_report(flagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             F.lit(rule.action).alias("action"),
         )
 
-    rows = counts.select("_rows", F.posexplode(F.array(*[entry(r) for r in rules])))
+    rows = summary.select("rows_in", F.posexplode(F.array(*[entry(r) for r in rules])))
     return rows.orderBy("pos").select(
         "col.rule",
         "col.description",
         "col.violations",
-        percent(F.col("col.violations"), F.greatest("_rows", F.lit(1))).alias("pct"),
+        percent(F.col("col.violations"), F.greatest("rows_in", F.lit(1))).alias("pct"),
         "col.action",
     )
 
 
-def dataset_stats(flagged: DataFrame, column: str | None = None) -> DataFrame:
-    """Rows in and out, reject rate, and min / max / mean of ``column`` when clean."""
-    kept = ~F.col("_rejected")
-    measures = [
-        F.count(F.lit(1)).alias("rows_in"),
-        F.count_if(kept).alias("rows_out"),
-    ]
-    if column:
-        value = F.when(kept, F.col(column))
-        measures += [
-            F.min(value).alias("min_value"),
-            F.max(value).alias("max_value"),
-            exact_mean(value).alias("mean_value"),
-        ]
-    stats = flagged.agg(*measures)
+def dataset_stats(summary: DataFrame) -> DataFrame:
+    """Rows in and out, reject rate, and min / max / mean of the clean measure."""
     lost = F.col("rows_in") - F.col("rows_out")
     rate = percent(lost, F.greatest("rows_in", F.lit(1)))
-    return stats.withColumn("reject_pct", rate)
+    known = [c for c in ("min_value", "max_value", "mean_value") if c in summary.columns]
+    return summary.select("rows_in", "rows_out", *known, rate.alias("reject_pct"))
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

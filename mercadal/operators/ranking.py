@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercadal.operators.joins import cross_one_row, lookup_join
+from mercadal.operators.joins import cross_one_row
 from mercadal.session import materialize
 
 PARTITION_BITS = 33  # monotonically_increasing_id keeps the row index below this bit
@@ -99,42 +99,59 @@ def exact_quantiles(
     """Exact, linearly interpolated quantiles of the non-null values.
 
     One output column per entry of ``probs``; one row per group of ``by``, or
-    one row in all. Equal values are counted together before the shuffle, the
-    distinct values are ranked by range, and only the rows that hold a wanted
-    position reach the final aggregate (two per group and quantile at most).
+    one row in all. Equal values are counted together before the shuffle and
+    the distinct values are laid out by range. A small table of weights per
+    (group, range) tells which ranges hold a wanted position; only those are
+    read again, and only their rows are counted through.
     """
     by = list(by)
     counts = (
         df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_w"))
     )
-    laid = _with_offset(_laid_out(counts, [*by, value]), F.col("_w"))
-    inside = (
-        Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    laid = _laid_out(counts, [*by, value])
+
+    # ranges of one group: never more than there are shuffle partitions
+    earlier = (
+        Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    ranges = (
+        laid.groupBy(*by, "_part")
+        .agg(F.sum("_w").alias("_in"))
+        .withColumn("_before", F.coalesce(F.sum("_in").over(earlier), F.lit(0)))
+        .withColumn("_n", F.sum("_in").over(Window.partitionBy(*by)))
     )
-    running = laid.withColumn("_upto", F.col("_before") + F.sum("_w").over(inside))
-    running = running.select(*by, value, "_w", "_upto")
-    sizes = running.groupBy(*by).agg(
-        F.sum("_w").alias("_n"), F.min(F.col("_upto") - F.col("_w")).alias("_start")
+    spots = {name: F.lit(float(p)) * (F.col("_n") - F.lit(1)) for name, p in probs.items()}
+
+    def held(first: Column, last: Column) -> Column:
+        """Does [first, last) hold a position next to a wanted one?"""
+        hit = F.lit(False)
+        for spot in spots.values():
+            for position in (F.floor(spot), F.ceil(spot)):
+                hit = hit | ((first <= position) & (position < last))
+        return hit
+
+    needed = ranges.where(held(F.col("_before"), F.col("_before") + F.col("_in"))).select(
+        F.col("_part").alias("_range"),
+        "_before",
+        "_n",
+        *[F.col(k).alias(f"_g_{k}") for k in by],
     )
-    if by:
-        placed = lookup_join(running, sizes, by, ["_n", "_start"])
-    else:
-        placed = cross_one_row(running, sizes)
-    last = F.col("_upto") - F.col("_start")  # positions (first, last] belong to this value
-    first = last - F.col("_w")
-
-    wanted, results = [], []
-    for name, p in probs.items():
-        spot = F.lit(float(p)) * (F.col("_n") - F.lit(1))
+    condition = F.col("_part") == F.col("_range")
+    for key in by:
+        condition = condition & F.col(key).eqNullSafe(F.col(f"_g_{key}"))
+    rows = laid.join(needed, condition)
+    inside = (
+        Window.partitionBy(*by, "_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    upto = F.col("_before") + F.sum("_w").over(inside)
+    placed = rows.withColumn("_last", upto).withColumn("_first", F.col("_last") - F.col("_w"))
+
+    first, last = F.col("_first"), F.col("_last")
+    results = []
+    for name, spot in spots.items():
         low, high = F.floor(spot), F.ceil(spot)
-        holds_low = (first <= low) & (low < last)
-        holds_high = (first <= high) & (high < last)
-        wanted.append(holds_low | holds_high)
-        low_value = F.max(F.when(holds_low, F.col(value)))
-        high_value = F.max(F.when(holds_high, F.col(value)))
+        low_value = F.max(F.when((first <= low) & (low < last), F.col(value)))
+        high_value = F.max(F.when((first <= high) & (high < last), F.col(value)))
         share = F.max(spot - low)
         results.append((low_value + (high_value - low_value) * share).alias(name))
-    keep = wanted[0]
-    for condition in wanted[1:]:
-        keep = keep | condition
-    return placed.where(keep).groupBy(*by).agg(*results)
+    return placed.where(held(first, last)).groupBy(*by).agg(*results)

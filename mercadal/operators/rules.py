@@ -22,11 +22,13 @@ DROP, REPORT = "drop", "report"
 
 @dataclass(frozen=True)
 class Context:
-    """What a rule may need besides the rows: the reference instant and the
-    frames that foreign keys point to."""
+    """What a rule may need besides the rows being flagged: the reference
+    instant, the frames that foreign keys point to, and the raw frame. Rules
+    that aggregate read the raw frame, not the flags attached so far."""
 
     as_of: object
     refs: Mapping[str, DataFrame] = field(default_factory=dict)
+    raw: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -101,14 +103,15 @@ def first_occurrence(
     """
     keys, order = list(keys), list(order)
 
-    def build(df: DataFrame, _ctx: Context, out: str) -> DataFrame:
+    def build(df: DataFrame, ctx: Context, out: str) -> DataFrame:
+        raw = df if ctx.raw is None else ctx.raw
         place = F.struct(*order)
         repeated = (
-            df.groupBy(*keys)
+            raw.groupBy(*keys)
             .agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_first"))
             .where("_n > 1")
         )
-        joined = lookup_join(df, repeated, keys, ["_first"])
+        joined = lookup_join(df, repeated, keys, ["_first"], key_source=raw)
         later = F.coalesce(place > F.col("_first"), F.lit(False))
         return joined.withColumn(out, later).drop("_first")
 
@@ -119,7 +122,8 @@ def references(id_: str, column: str, ref: str, ref_column: str, description: st
     """Flags non-null keys absent from the frame registered as ``ref``."""
 
     def build(df: DataFrame, ctx: Context, out: str) -> DataFrame:
-        known = with_membership(df, ctx.refs[ref], column, ref_column, "_known")
+        raw = df if ctx.raw is None else ctx.raw
+        known = with_membership(df, ctx.refs[ref], column, ref_column, "_known", key_source=raw)
         orphan = ~F.col("_known") & F.col(column).isNotNull()
         return known.withColumn(out, orphan).drop("_known")
 
@@ -129,8 +133,8 @@ def references(id_: str, column: str, ref: str, ref_column: str, description: st
 def iqr_outlier(id_: str, column: str, description: str, factor: float = 3.0) -> Rule:
     """Flags values above Q3 + factor * IQR of the raw column; report only."""
 
-    def build(df: DataFrame, _ctx: Context, out: str) -> DataFrame:
-        limit = outlier_threshold(df, column, factor)
+    def build(df: DataFrame, ctx: Context, out: str) -> DataFrame:
+        limit = outlier_threshold(df if ctx.raw is None else ctx.raw, column, factor)
         note = f"_n_{id_}"
         judged = cross_one_row(df, limit.withColumnRenamed("threshold", note))
         return judged.withColumn(out, F.coalesce(F.col(column) > F.col(note), F.lit(False)))

@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from mercadal.functions.scalars import normalised
 from mercadal.operators.ranking import distributed_row_number
+from mercadal.session import local_table
 
 
 def weight_table(spark: SparkSession, weights: dict[str, float]) -> DataFrame:
     rows = [(name, float(w)) for name, w in weights.items()]
-    return spark.createDataFrame(rows, "criterion string, weight double")
+    return local_table(spark, rows, "criterion string, weight double")
 
 
 def scenario_table(
@@ -30,7 +31,7 @@ def scenario_table(
         for scenario, delta in shifts.items()
         for name, w in weights.items()
     ]
-    return spark.createDataFrame(rows, "scenario string, criterion string, weight double")
+    return local_table(spark, rows, "scenario string, criterion string, weight double")
 
 
 def normalised_weights(weights: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -516,9 +516,8 @@ ORACLES: dict[str, str] = {
             r(f"MAX(total) FILTER (WHERE alternative = '{a}')", 2) for a in REGION_NAMES)}
         FROM totals""",
     "math_kernel": """SELECT l_linenumber,
-            ROUND(CAST(SUM(CAST(list_sum(list_transform(range(0, 50),
-                lambda i: sin(l_quantity) * cos(l_quantity + i))) AS DECIMAL(28,12))) AS DOUBLE), 6)
-                AS kernel_sum,
+            ROUND(SUM(list_sum(list_transform(range(0, 50),
+                lambda i: sin(l_quantity) * cos(l_quantity + i)))), 6) AS kernel_sum,
             COUNT(*) AS n FROM lineitem GROUP BY l_linenumber""",
     "scaling_report": f"""WITH {RUN_LOG}
         SELECT job, p, ROUND(tp, 6) AS median_seconds, ROUND(s, 6) AS speedup,

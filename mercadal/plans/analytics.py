@@ -102,7 +102,7 @@ def rfm_scores(profiles: DataFrame) -> DataFrame:
         F.struct(F.lit("F").alias("measure"), F.col("num_compras").alias("value")),
         F.struct(
             F.lit("M").alias("measure"),
-            F.round(F.col("gasto_total") * 100).cast("bigint").alias("value"),
+            F.rint(F.col("gasto_total") * 100).cast("bigint").alias("value"),
         ),
     )
     known = profiles.select(

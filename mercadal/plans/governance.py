@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from mercadal.functions.scalars import base_name, utc_now_text, whole_seconds
 from mercadal.schemas import CATALOG_VERSION, GOLD_TABLES, LINEAGE, RULE_CATALOG, SOURCES
+from mercadal.session import local_table
 
 FIELD_SCHEMA = (
     "dataset string, campo string, tipo string, descripcion string, fuente string, "
@@ -29,7 +30,8 @@ def lineage_record(
     seconds: float | None = None,
 ) -> DataFrame:
     """One-row frame; rows dropped never go below zero."""
-    facts = spark.createDataFrame(
+    facts = local_table(
+        spark,
         [(origin, step, target, script, rows_in, rows_out, notes, seconds)],
         "origen string, transformacion string, destino string, script_responsable string, "
         "filas_entrada long, filas_salida long, notas string, segundos double",
@@ -81,12 +83,12 @@ def field_catalog(spark: SparkSession) -> DataFrame:
                     list(f["reglas"]),
                 )
             )
-    return spark.createDataFrame(rows, FIELD_SCHEMA)
+    return local_table(spark, rows, FIELD_SCHEMA)
 
 
 def rule_catalog(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(RULE_CATALOG), "id string, nombre string, descripcion string, accion string"
+    return local_table(
+        spark, list(RULE_CATALOG), "id string, nombre string, descripcion string, accion string"
     )
 
 
@@ -97,7 +99,8 @@ def catalog_document(spark: SparkSession) -> DataFrame:
     per_source = fields.groupBy("dataset").agg(
         F.collect_list(F.struct(*members)).alias("campos")  # fields of one feed
     )
-    heads = spark.createDataFrame(
+    heads = local_table(
+        spark,
         [
             (i, s.nombre, s.archivo, s.zona_bronze, s.zona_silver, s.formato_origen, s.descripcion)
             for i, s in enumerate(SOURCES)
@@ -114,7 +117,8 @@ def catalog_document(spark: SparkSession) -> DataFrame:
             )
         ).alias("fuentes")
     )
-    gold = spark.createDataFrame(
+    gold = local_table(
+        spark,
         [
             (g.nombre, g.ruta, g.descripcion, list(g.particionado_por or []), list(g.origen))
             for g in GOLD_TABLES

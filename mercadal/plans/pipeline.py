@@ -123,6 +123,7 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineRun:
         "mercadal/plans/silver.py", rows["eventos"], "por year/month",
         lambda: writers.write_zone(clean_evt, f"{cfg.root}/silver/eventos", layout),
     )
+    txn_quality, evt_quality = txn_quality.stored(), evt_quality.stored()
     report = writers.write_quality_report(
         {"transacciones": txn_quality.report, "eventos": evt_quality.report},
         {"transacciones": txn_quality.stats, "eventos": evt_quality.stats},

@@ -12,19 +12,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercadal.functions.scalars import half_up, month_key, weekday_name, weekday_number
+from mercadal.functions.scalars import exact_mean, exact_total, half_up, month_key, weekday_name, weekday_number
 from mercadal.operators.aggregates import pivot_sum, share_of_total, top_k
 
-TOTAL = "decimal(12,2)"
-
 
 def _revenue(digits: int):
-    return F.round(F.sum(F.col("total").cast(TOTAL)), digits).cast("double")
+    return F.round(exact_total(F.col("total")), digits).cast("double")
 
 
 def _ticket(digits: int):
-    mean = F.sum(F.col("total").cast(TOTAL)).cast("double") / F.count("total")
-    return half_up(mean, digits)
+    return half_up(exact_mean(F.col("total")), digits)
 
 
 def resumen_general(sales: DataFrame) -> DataFrame:
@@ -42,7 +39,7 @@ def _per_product(sales: DataFrame) -> DataFrame:
     return sales.groupBy("producto_id").agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum("cantidad").alias("_u"),
-        F.sum(F.col("total").cast(TOTAL)).alias("_t"),
+        exact_total(F.col("total")).alias("_t"),
     )
 
 
@@ -125,7 +122,7 @@ def reporte_diario(sales: DataFrame, products: DataFrame) -> DataFrame:
     cells = sales.groupBy("producto_id", *keys).agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum("cantidad").alias("_u"),
-        F.sum(F.col("total").cast(TOTAL)).alias("_t"),
+        exact_total(F.col("total")).alias("_t"),
     )
     named = products.select(F.col("id").alias("producto_id"), "categoria")
     return (
@@ -147,7 +144,7 @@ def register_daily_view(sales: DataFrame, products: DataFrame, name: str = "repo
 def region_por_canal(sales: DataFrame, channels: Sequence[str]) -> DataFrame:
     """Region x channel revenue with a TOTAL column, empty cells 0."""
     cells = sales.groupBy("region", "canal").agg(
-        F.round(F.sum(F.col("total").cast(TOTAL)), 0).alias("ingresos")
+        F.round(exact_total(F.col("total")), 0).alias("ingresos")
     )
     table = pivot_sum(cells, "region", "canal", channels, "ingresos", total="TOTAL")
     return table.select(

@@ -38,10 +38,12 @@ def places(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def line_total():
-    """Price less discount, rounded to cents in exact arithmetic."""
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    kept = F.lit(1) - F.col("l_discount").cast("decimal(4,2)")
-    return F.round(price * kept, 2).cast("decimal(12,2)")
+    """Price less discount, rounded half-up to cents in whole-number arithmetic."""
+    price = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
+    kept = F.lit(100) - F.rint(F.col("l_discount") * 100).cast("bigint")
+    exact = price * kept  # ten-thousandths
+    cents = F.floor((F.abs(exact) + F.lit(50)) / F.lit(100)) * F.signum(exact)
+    return cents / F.lit(100.0)
 
 
 def located_orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -148,7 +150,7 @@ def order_sales(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderdate").cast("date").alias("fecha"),
         F.col("r_name").alias("region"),
         F.col("o_orderpriority").alias("canal"),
-        F.col("o_totalprice").cast("decimal(12,2)").alias("total"),
+        F.col("o_totalprice").alias("total"),
     )
 
 

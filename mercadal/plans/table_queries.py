@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from mercadal.functions.kernel import trig_kernel
 from mercadal.functions.scalars import (
+    exact_sum,
+    exact_total,
     labelled_id,
     lenient_number,
     lenient_timestamp,
@@ -340,7 +342,7 @@ def _feed_totals(feed):
     return feed.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col("event_id").cast("bigint")).alias("id_sum"),
-        F.sum(lenient_number(F.col("value")).cast("decimal(12,2)")).cast("double").alias("total"),
+        exact_sum(lenient_number(F.col("value"))).alias("total"),
         F.max(lenient_timestamp(F.col("ts"))).alias("last_ts"),
         F.sum(F.get_json_object("props", "$.k").cast("bigint")).alias("k_sum"),
     )
@@ -371,7 +373,7 @@ def partitioned_roundtrip(spark, sf):
     return zone.groupBy("year").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_distinct("month").alias("months"),
-        F.sum(F.col("o_totalprice").cast("decimal(12,2)")).cast("double").alias("total"),
+        exact_sum(F.col("o_totalprice")).alias("total"),
     )
 
 
@@ -458,7 +460,7 @@ def _stacked_criteria(totals, alternative):
         *[
             F.struct(F.lit(name).alias("criterion"), F.col(column).alias("value"))
             for name, column in (
-                ("ingresos", "_cents"), ("unidades", "_units"), ("lineas", "_lines"),
+                ("ingresos", "_revenue"), ("unidades", "_units"), ("lineas", "_lines"),
                 ("descuento", "_off"),
             )
         ]
@@ -471,10 +473,10 @@ def _stacked_criteria(totals, alternative):
 def _supplier_totals(spark, sf):
     """Per supplier: revenue, units, lines, and total discount, less being better."""
     return table(spark, sf, "lineitem").groupBy("l_suppkey").agg(
-        F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).alias("_cents"),
-        F.sum(F.col("l_quantity").cast("decimal(12,2)")).alias("_units"),
-        F.count(F.lit(1)).cast("decimal(22,2)").alias("_lines"),
-        (-F.sum(F.col("l_discount").cast("decimal(12,2)"))).alias("_off"),
+        exact_total(F.col("l_extendedprice")).alias("_revenue"),
+        exact_total(F.col("l_quantity")).alias("_units"),
+        F.count(F.lit(1)).cast("decimal(28,6)").alias("_lines"),
+        (-exact_total(F.col("l_discount"))).alias("_off"),
     )
 
 
@@ -506,7 +508,7 @@ def mcda_matrix(spark, sf):
         _supplier_totals(spark, sf)
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("r_name")
-        .agg(*[F.sum(c).alias(c) for c in ("_cents", "_units", "_lines", "_off")])
+        .agg(*[F.sum(c).alias(c) for c in ("_revenue", "_units", "_lines", "_off")])
     )
     scores = _scored(_stacked_criteria(totals, "r_name"))
     weights = scoring.weight_table(spark, CRITERIA_WEIGHTS)
@@ -518,7 +520,7 @@ def math_kernel(spark, sf):
         "l_linenumber", trig_kernel(F.col("l_quantity")).alias("_k")
     )
     return lines.groupBy("l_linenumber").agg(
-        F.round(F.sum(F.col("_k").cast("decimal(28,12)")).cast("double"), 6).alias("kernel_sum"),
+        F.round(F.sum("_k"), 6).alias("kernel_sum"),
         F.count(F.lit(1)).alias("n"),
     )
 

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 # Settings the library relies on. AQE supplies partition coalescing, skew
 # splitting and size-checked broadcasts; UTC keeps text stamps comparable.
@@ -32,6 +35,21 @@ def build_session(
     return builder.getOrCreate()
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: str | StructType) -> DataFrame:
+    """Hand-written rows (weights, catalogs) as a relation of known size."""
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    columns = list(zip(*rows, strict=True)) if rows else [[] for _ in schema]
+    arrow = pa.Table.from_arrays(
+        [
+            pa.array(list(values), type=to_arrow_type(field.dataType))
+            for values, field in zip(columns, schema.fields, strict=True)
+        ],
+        names=schema.fieldNames(),
+    )
+    return spark.createDataFrame(arrow, schema=schema)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``.
 

@@ -24,6 +24,7 @@ from mercadal.schemas import (
     STATUSES,
     TRANSACTION_COLUMNS,
 )
+from mercadal.session import local_table
 
 # Fixed values of the feeds.
 BASE_DAY = "2024-01-01"
@@ -176,7 +177,7 @@ def product_dimension(spark: SparkSession) -> DataFrame:
         (number, name, category, price)
         for number, (name, category, price) in enumerate(PRODUCT_LIST, start=1)
     ]
-    plain = spark.createDataFrame(rows, "id int, nombre string, categoria string, precio int")
+    plain = local_table(spark, rows, "id int, nombre string, categoria string, precio int")
     return plain.select(
         "id", "nombre", "categoria",
         F.col("precio").cast(PRODUCTS["precio_unitario"].dataType).alias("precio_unitario"),

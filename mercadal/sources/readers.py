@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from mercadal.functions.scalars import utc_now_text
 from mercadal.schemas import LINEAGE
+from mercadal.session import local_table
 
 
 def _technical(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -92,7 +93,7 @@ def read_lineage(spark: SparkSession, path: str) -> DataFrame:
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], LINEAGE)
+        return local_table(spark, [], LINEAGE)
 
 
 def read_jdbc(
