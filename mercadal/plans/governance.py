@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,21 +19,17 @@ FIELD_SCHEMA = (
 )
 
 
-def lineage_record(
-    spark: SparkSession,
-    origin: str,
-    step: str,
-    target: str,
-    script: str,
-    rows_in: int = 0,
-    rows_out: int = 0,
-    notes: str = "",
-    seconds: float | None = None,
-) -> DataFrame:
-    """One-row frame; rows dropped never go below zero."""
+def lineage_records(spark: SparkSession, records: Sequence[Mapping]) -> DataFrame:
+    """A row per step; rows dropped never go below zero."""
     facts = local_table(
         spark,
-        [(origin, step, target, script, rows_in, rows_out, notes, seconds)],
+        [
+            (
+                r["origin"], r["step"], r["target"], r["script"], r.get("rows_in", 0),
+                r.get("rows_out", 0), r.get("notes", ""), r.get("seconds"),
+            )
+            for r in records
+        ],
         "origen string, transformacion string, destino string, script_responsable string, "
         "filas_entrada long, filas_salida long, notas string, segundos double",
     )
@@ -42,9 +39,9 @@ def lineage_record(
     ).select(*LINEAGE.fieldNames())
 
 
-def log_lineage(spark: SparkSession, path: str, **record) -> None:
-    """Appends one record to the JSON-lines log."""
-    lineage_record(spark, **record).coalesce(1).write.mode("append").json(path)
+def log_lineage(spark: SparkSession, path: str, *records: Mapping) -> None:
+    """Appends the records of one or more steps to the JSON-lines log."""
+    lineage_records(spark, records).coalesce(1).write.mode("append").json(path)
 
 
 def lineage_table(log: DataFrame) -> DataFrame:

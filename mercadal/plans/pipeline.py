@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,11 +48,21 @@ class PipelineRun:
     lineage: DataFrame
 
 
+def together(*actions: Callable[[], object]) -> list:
+    """Runs independent Spark actions at the same time; the first error is raised.
+
+    Their stages share the executors, so a step that leaves cores idle (a small
+    table, the tail of a skewed stage) does not hold up the others.
+    """
+    with ThreadPoolExecutor(len(actions)) as pool:
+        return [f.result() for f in [pool.submit(action) for action in actions]]
+
+
 class _Steps:
-    """Times a step, counts its result and appends the lineage record."""
+    """Times a step, counts its result and keeps its lineage record."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+        self.spark, self.path, self.records = spark, path, []
 
     def run(
         self, origin: str, step: str, target: str, script: str, rows_in: int | None,
@@ -61,13 +72,20 @@ class _Steps:
         stored = action()
         seconds = time.monotonic() - started
         rows_out = stored.count()  # zero columns read: row counts of the footers
-        governance.log_lineage(
-            self.spark, self.path, origin=origin, step=step, target=target, script=script,
-            rows_in=rows_out if rows_in is None else rows_in, rows_out=rows_out, notes=notes,
-            seconds=round(seconds, 3),
+        self.records.append(
+            {
+                "origin": origin, "step": step, "target": target, "script": script,
+                "rows_in": rows_out if rows_in is None else rows_in, "rows_out": rows_out,
+                "notes": notes, "seconds": round(seconds, 3),
+            }
         )
         return stored, rows_out
 
+    def log(self) -> None:
+        """Appends the records kept since the last call, in one small write."""
+        governance.log_lineage(self.spark, self.path, *self.records)
+        self.records = []
+
 
 def generate_feeds(spark: SparkSession, cfg: PipelineConfig) -> tuple[str, str]:
     txn_path, evt_path = f"{cfg.root}/seeds/transacciones.csv", f"{cfg.root}/seeds/eventos.jsonl"
@@ -93,44 +111,49 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineRun:
         "transacciones": (txn_path, "csv", TRANSACTION_FEED),
         "eventos": (evt_path, "jsonl", EVENT_FEED),
     }
-    bronze, rows = {}, {}
-    for name, (path, fmt, schema) in feeds.items():
+
+    def ingest(name: str):
+        path, fmt, schema = feeds[name]
         source = readers.read_source(spark, path, fmt, schema, empty_as_null=cfg.empty_as_null)
         target = f"{cfg.root}/bronze/{name}.parquet"
-        bronze[name], rows[name] = steps.run(
+        return steps.run(
             path, "ingesta_raw", target, "mercadal/sources/readers.py", None, f"formato {fmt}",
-            lambda source=source, target=target: writers.write_zone(source, target),
+            lambda: writers.write_zone(source, target),
         )
-        writers.archive_raw(spark, path, f"{cfg.root}/bronze/raw/{name}")
+
+    def archive(name: str):
+        return writers.archive_raw(spark, feeds[name][0], f"{cfg.root}/bronze/raw/{name}")
+
+    (raw_txn, txn_in), (raw_evt, evt_in), *_ = together(
+        lambda: ingest("transacciones"),
+        lambda: ingest("eventos"),
+        lambda: archive("transacciones"),
+        lambda: archive("eventos"),
+    )
+    steps.log()
 
     # silver: events need the users of the stored clean transactions
     layout = ["year", "month"]
+
+    def refine(name: str, clean: DataFrame, rows_in: int, rules: str):
+        target = f"{cfg.root}/silver/{name}"
+        return steps.run(
+            f"{cfg.root}/bronze/{name}.parquet", f"validacion_calidad_{rules}", target,
+            "mercadal/plans/silver.py", rows_in, "por year/month",
+            lambda: writers.write_zone(clean, target, layout),
+        )
+
     clean_txn, txn_quality = silver.validate_transactions(
-        bronze["transacciones"], cfg.as_of, cfg.transaction_rules
-    )
-    target = f"{cfg.root}/silver/transacciones"
-    txn, txn_rows = steps.run(
-        f"{cfg.root}/bronze/transacciones.parquet", "validacion_calidad_R01-R08", target,
-        "mercadal/plans/silver.py", rows["transacciones"], "por year/month",
-        lambda: writers.write_zone(clean_txn, f"{cfg.root}/silver/transacciones", layout),
+        raw_txn, cfg.as_of, cfg.transaction_rules
     )
-    clean_evt, evt_quality = silver.validate_events(
-        bronze["eventos"], txn, cfg.as_of, cfg.event_rules
-    )
-    target = f"{cfg.root}/silver/eventos"
-    evt, evt_rows = steps.run(
-        f"{cfg.root}/bronze/eventos.parquet", "validacion_calidad_R01-R07", target,
-        "mercadal/plans/silver.py", rows["eventos"], "por year/month",
-        lambda: writers.write_zone(clean_evt, f"{cfg.root}/silver/eventos", layout),
-    )
-    txn_quality, evt_quality = txn_quality.stored(), evt_quality.stored()
-    report = writers.write_quality_report(
-        {"transacciones": txn_quality.report, "eventos": evt_quality.report},
-        {"transacciones": txn_quality.stats, "eventos": evt_quality.stats},
-        f"{cfg.root}/metrics",
+    txn, txn_rows = refine("transacciones", clean_txn, txn_in, "R01-R08")
+    clean_evt, evt_quality = silver.validate_events(raw_evt, txn, cfg.as_of, cfg.event_rules)
+    (evt, evt_rows), txn_quality = together(
+        lambda: refine("eventos", clean_evt, evt_in, "R01-R07"), txn_quality.stored
     )
+    steps.log()
 
-    # gold
+    # gold, while the event report is counted
     def gold_step(name, table, step, origin, rows_in, partitioned=False):
         target = f"{cfg.root}/gold/{name}" + ("" if partitioned else ".parquet")
         return steps.run(
@@ -140,24 +163,30 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineRun:
             ),
         )[0]
 
-    golds = {
-        "ventas_categoria_mes": gold_step(
+    ventas, perfil, embudo, evt_quality = together(
+        lambda: gold_step(
             "ventas_categoria_mes", gold.ventas_categoria_mes(txn),
             "aggregation_ventas_categoria_mes", "silver/transacciones", txn_rows, True,
         ),
-        "perfil_usuarios": gold_step(
+        lambda: gold_step(
             "perfil_usuarios", gold.sorted_profiles(gold.perfil_usuarios(txn, evt)),
             "join_perfil_usuarios", "silver/transacciones + silver/eventos", txn_rows + evt_rows,
         ),
-        "conversion_funnel": gold_step(
+        lambda: gold_step(
             "conversion_funnel", gold.funnel(evt, cfg.funnel_steps),
             "conversion_funnel_by_session", "silver/eventos", evt_rows,
         ),
+        evt_quality.stored,
+    )
+    steps.log()
+    golds = {
+        "ventas_categoria_mes": ventas,
+        "perfil_usuarios": perfil,
+        "conversion_funnel": embudo,
     }
 
-    # queries
-    ventas = golds["ventas_categoria_mes"]
-    scores = analytics.rfm_scores(golds["perfil_usuarios"])
+    # queries, report and catalog
+    scores = analytics.rfm_scores(perfil)
     results = {
         "top_categorias": analytics.top_categorias(ventas),
         "serie_temporal": analytics.serie_temporal(ventas),
@@ -168,10 +197,23 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineRun:
         "pais_categoria": analytics.pais_por_categoria(ventas, cfg.categories),
     }
     saved = ("top_categorias", "serie_temporal", "rfm_segmentos", "geo")
-    writers.write_query_results({k: results[k] for k in saved}, f"{cfg.root}/metrics")
-
-    governance.write_catalog(spark, f"{cfg.root}/metadata/catalogo")
+    report, *_ = together(
+        lambda: writers.write_quality_report(
+            {"transacciones": txn_quality.report, "eventos": evt_quality.report},
+            {"transacciones": txn_quality.stats, "eventos": evt_quality.stats},
+            f"{cfg.root}/metrics",
+        ),
+        lambda: governance.write_catalog(spark, f"{cfg.root}/metadata/catalogo"),
+        *[
+            lambda name=name: writers.write_query_results(
+                {name: results[name]}, f"{cfg.root}/metrics"
+            )
+            for name in saved
+        ],
+    )
     lineage = readers.read_lineage(spark, f"{cfg.root}/metadata/linaje")
     return PipelineRun(
-        bronze, {"transacciones": txn, "eventos": evt}, golds, results, report, lineage
+        {"transacciones": raw_txn, "eventos": raw_evt},
+        {"transacciones": txn, "eventos": evt},
+        golds, results, report, lineage,
     )

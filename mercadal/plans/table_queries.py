@@ -421,8 +421,12 @@ def lineage_summary(spark, sf):
         ("filtro_compras", rows[1], rows[2], "bought"),
     ):
         governance.log_lineage(
-            spark, log_path, origin="events", step=name, target=f"{root}/{target}",
-            script="table_queries.py", rows_in=before, rows_out=after,
+            spark,
+            log_path,
+            {
+                "origin": "events", "step": name, "target": f"{root}/{target}",
+                "script": "table_queries.py", "rows_in": before, "rows_out": after,
+            },
         )
     return governance.lineage_summary(readers.read_lineage(spark, log_path))
 
