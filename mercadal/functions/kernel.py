@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
 def trig_kernel(x: Column, terms: int = 50) -> Column:
@@ -35,5 +36,5 @@ def trig_kernel_arrow(df: DataFrame, column: str, out: str, terms: int = 50) ->
                 total += np.sin(x) * np.cos(x + i)
             yield frame.assign(**{out: total})
 
-    schema = df.schema.add(out, "double")
+    schema = StructType([*df.schema.fields, StructField(out, DoubleType())])
     return df.mapInPandas(batches, schema=schema)

@@ -25,6 +25,7 @@ from mercadal.schemas import (
     TRANSACTION_COLUMNS,
 )
 from mercadal.session import local_table
+from mercadal.sources.writers import load_once
 
 # Fixed values of the feeds.
 BASE_DAY = "2024-01-01"
@@ -205,3 +206,16 @@ def synthetic_sales(spark: SparkSession, n: int, seed: int = 44) -> DataFrame:
         F.col("sale_id").alias("id"), "producto_id", "cantidad", "fecha", "region", "canal",
         total.cast("decimal(12,2)").alias("total"),
     )
+
+
+def write_star(spark: SparkSession, folder: str, n: int, seed: int = 44) -> dict[str, DataFrame]:
+    """Products and sales as Parquet tables; tables already loaded are kept."""
+    products = load_once(
+        product_dimension(spark).withColumn("creado_en", F.current_timestamp()),
+        f"{folder}/productos",
+    )
+    sales = load_once(
+        synthetic_sales(spark, n, seed).withColumn("registrado_en", F.current_timestamp()),
+        f"{folder}/transacciones",
+    )
+    return {"productos": products, "transacciones": sales}
