@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# The sketch reports at most this many key hashes, which bounds every broadcast
-# below; a key with more than 1/HOT_KEYS of the rows is sure to be among them.
+# Frequent keys are found with sketches of SKETCH_ITEMS items, merged in
+# SKETCH_GROUPS groups that report HOT_KEYS keys each; a key with more than
+# about 1/256 of the rows is sure to be among them. At most HOT_KEYS keys are
+# split, which bounds the broadcasts below; all others take the plain route.
 HOT_KEYS = 256
-SKETCH_ITEMS = 8192
+SKETCH_ITEMS = 4096
+SKETCH_GROUPS = 256
 # A key is split so that no piece holds much more than 1/PIECES of the rows.
 PIECES = 4096
 
@@ -22,18 +25,36 @@ def key_hash(keys: Sequence[str]) -> Column:
 def hot_hashes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Hashes of the frequent keys with the number of pieces each is split in.
 
-    A mergeable frequent-items sketch: one narrow pass, no shuffle by key. The
-    counts are estimates, which is harmless: any split gives the same result.
+    One narrow pass and no shuffle by key: scan tasks build sketches, groups of
+    tasks merge them, and the keys the groups report are added up. So no single
+    task reads one sketch per scan task. The counts are estimates, which is
+    harmless: any split gives the same result.
     """
-    sketch = F.expr(f"approx_top_k(_h, {HOT_KEYS}, {SKETCH_ITEMS})")
-    seen = df.select(key_hash(keys).alias("_h")).agg(
-        sketch.alias("_top"), F.count(F.lit(1)).alias("_all")
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))
+    reported = (
+        df.select(key_hash(keys).alias("_h"), group.alias("_g"))
+        .groupBy("_g")
+        .agg(
+            F.expr(f"approx_top_k(_h, {HOT_KEYS}, {SKETCH_ITEMS})").alias("_top"),
+            F.count(F.lit(1)).alias("_rows"),
+        )
+    )
+    # a null item carries the rows of the group
+    whole = F.struct(F.lit(None).cast("bigint").alias("item"), F.col("_rows").alias("count"))
+    summed = (
+        reported.select(F.explode(F.concat("_top", F.array(whole))).alias("_t"))
+        .groupBy(F.col("_t.item").alias("_hot"))
+        .agg(F.sum("_t.count").alias("_n"))
     )
-    share = F.col("_t.count") / F.col("_all")
+    # SKETCH_GROUPS x HOT_KEYS rows at most
+    rows = F.sum(F.when(F.col("_hot").isNull(), F.col("_n"))).over(Window.partitionBy())
+    split = F.ceil(F.col("_n") * F.lit(float(PIECES)) / rows)
     return (
-        seen.select("_all", F.explode("_top").alias("_t"))
-        .where(share * PIECES > 1)
-        .select(F.col("_t.item").alias("_hot"), F.ceil(share * PIECES).alias("_pieces"))
+        summed.withColumn("_pieces", split)
+        .where((F.col("_pieces") > 1) & F.col("_hot").isNotNull())
+        .orderBy(F.desc("_n"), "_hot")
+        .limit(HOT_KEYS)
+        .select("_hot", "_pieces")
     )
 
 
