@@ -58,6 +58,11 @@ def lenient_timestamp(col: Column) -> Column:
     return F.when(col.rlike(STAMP_PATTERN), col.try_cast("timestamp_ntz"))
 
 
+def stamp_text(when: Column) -> Column:
+    """Zone-free timestamp to ``yyyy-MM-dd HH:mm:ss`` text, whatever the session zone."""
+    return F.substring(when.cast("string"), 1, 19)
+
+
 def period_label(year: Column, month: Column) -> Column:
     return F.format_string("%d-%02d", year, month)
 

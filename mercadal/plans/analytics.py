@@ -96,22 +96,20 @@ def rfm_scores(profiles: DataFrame) -> DataFrame:
     The three measures are stacked and ranked in one range sort. Equal values
     rank by spend (highest first) and user, the order of the profile table.
     """
-    micros = F.unix_micros(F.col("ultima_compra").cast("timestamp"))
-    measures = F.array(
-        F.struct(F.lit("R").alias("measure"), micros.alias("value")),
-        F.struct(F.lit("F").alias("measure"), F.col("num_compras").alias("value")),
-        F.struct(
-            F.lit("M").alias("measure"),
-            F.rint(F.col("gasto_total") * 100).cast("bigint").alias("value"),
-        ),
+    columns = ["user_id", "gasto_total", "num_compras", "ultima_compra"]
+    stacked = profiles.select(
+        *columns, F.explode(F.array(F.lit("R"), F.lit("F"), F.lit("M"))).alias("measure")
     )
-    known = profiles.select(
-        "user_id", "gasto_total", "num_compras", "ultima_compra", F.explode(measures).alias("_m")
-    )
-    stacked = known.select(
-        "user_id", "gasto_total", "num_compras", "ultima_compra", "_m.measure", "_m.value"
+    # one sort column per type; within a measure only its own is set
+    stacked = stacked.withColumns(
+        {
+            "_moment": F.when(F.col("measure") == "R", F.col("ultima_compra")),
+            "_value": F.when(F.col("measure") == "F", F.col("num_compras").cast("double")).when(
+                F.col("measure") == "M", F.col("gasto_total")
+            ),
+        }
     )
-    order = [F.asc("value"), F.desc("gasto_total"), F.asc("user_id")]
+    order = ["_moment", "_value", F.desc("gasto_total"), F.asc("user_id")]
     scored = quintiles_by_measure(stacked, "measure", order, "score")
 
     def score_of(name: str):

@@ -14,6 +14,7 @@ from mercadal.functions.scalars import (
     labelled_id,
     lenient_number,
     lenient_timestamp,
+    stamp_text,
 )
 from mercadal.operators import aggregates, joins, quality, ranking, scaling, scoring
 from mercadal.operators import rules as R
@@ -332,7 +333,7 @@ EVENT_TEXT = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 def _event_text(spark, sf):
     events = table(spark, sf, "events")
-    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    stamp = stamp_text(F.col("ts"))
     return events.withColumn("ts", stamp).select(
         *[F.col(c).cast("string").alias(c) for c in EVENT_TEXT]
     )
@@ -565,7 +566,7 @@ def _star_feeds(spark, sf, root):
         F.col("o_orderpriority").alias("category"),
         F.col("o_totalprice").alias("amount"),
         F.lit(1).alias("quantity"),
-        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("date"),
+        stamp_text(F.col("o_orderdate")).alias("date"),
         F.col("o_orderstatus").alias("payment_method"),
         F.col("o_orderstatus").alias("status"),
         F.lit("CL").alias("country"),
@@ -577,7 +578,7 @@ def _star_feeds(spark, sf, root):
         star.session_key().alias("session_id"),
         "event_type",
         F.col("props").alias("page"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+        stamp_text(F.col("ts")).alias("timestamp"),
         F.lit("mobile").alias("device"),
         F.lit("Chrome").alias("browser"),
         F.col("value").alias("duration_sec"),
