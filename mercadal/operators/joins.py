@@ -7,28 +7,33 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mercadal.session import local_table
+
 # Frequent keys are found with sketches of SKETCH_ITEMS items, merged in
 # SKETCH_GROUPS groups that report HOT_KEYS keys each; a key with more than
 # about 1/256 of the rows is sure to be among them. At most HOT_KEYS keys are
-# split, which bounds the broadcasts below; all others take the plain route.
+# split; all others take the plain route.
 HOT_KEYS = 256
 SKETCH_ITEMS = 4096
 SKETCH_GROUPS = 256
-# A key is split so that no piece holds much more than 1/PIECES of the rows.
+# A key is split in pieces of 1/PIECES of all rows, but not of fewer rows than
+# a task takes in its stride.
 PIECES = 4096
+MIN_PIECE_ROWS = 500_000
 
 
 def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
-def hot_hashes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def frequent_keys(df: DataFrame, keys: Sequence[str]) -> list[tuple[int, int]]:
     """Hashes of the frequent keys with the number of pieces each is split in.
 
     One narrow pass and no shuffle by key: scan tasks build sketches, groups of
     tasks merge them, and the keys the groups report are added up. So no single
-    task reads one sketch per scan task. The counts are estimates, which is
-    harmless: any split gives the same result.
+    task reads one sketch per scan task. The result, ``HOT_KEYS`` pairs at
+    most, is fetched so that both sides of a join see the same split; the
+    counts behind it are estimates, and any split gives the same rows.
     """
     group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))
     reported = (
@@ -48,14 +53,14 @@ def hot_hashes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
     # SKETCH_GROUPS x HOT_KEYS rows at most
     rows = F.sum(F.when(F.col("_hot").isNull(), F.col("_n"))).over(Window.partitionBy())
-    split = F.ceil(F.col("_n") * F.lit(float(PIECES)) / rows)
-    return (
-        summed.withColumn("_pieces", split)
+    piece = F.greatest(rows / F.lit(float(PIECES)), F.lit(float(MIN_PIECE_ROWS)))
+    split = (
+        summed.withColumn("_pieces", F.ceil(F.col("_n") / piece))
         .where((F.col("_pieces") > 1) & F.col("_hot").isNotNull())
         .orderBy(F.desc("_n"), "_hot")
         .limit(HOT_KEYS)
-        .select("_hot", "_pieces")
     )
+    return [(row["_hot"], row["_pieces"]) for row in split.select("_hot", "_pieces").collect()]
 
 
 def lookup_join(
@@ -64,6 +69,7 @@ def lookup_join(
     keys: Sequence[str],
     payload: Sequence[str],
     key_source: DataFrame | None = None,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Left join of ``fact`` with ``lookup``, which is unique on ``keys``.
 
@@ -71,34 +77,39 @@ def lookup_join(
     of a frequent key are dealt out over its pieces and its lookup row is
     repeated once per piece, ``PIECES + HOT_KEYS`` repetitions at most in all.
     AQE turns the join into a broadcast when the lookup proves small.
+
     ``key_source`` is a frame with the same keys that is cheaper to scan than
-    ``fact``.
+    ``fact``. Rows are dealt by a hash of ``spread_by`` (all columns if not
+    given), never by their position: a re-run task must deal them alike. Name
+    the row's place there when full copies of a row may abound.
     """
     keys, payload = list(keys), list(payload)
-    hot = F.broadcast(hot_hashes(fact if key_source is None else key_source, keys))
-    pieces = F.coalesce(F.col("_pieces"), F.lit(1))
-
-    dealt = F.pmod(F.monotonically_increasing_id(), pieces)
-    rows = (
-        fact.withColumn("_h", key_hash(keys))
-        .join(hot, F.col("_h") == F.col("_hot"), "left")
-        .withColumn("_route", F.xxhash64("_h", dealt))
-    )
-    copies = (
-        lookup.select(
-            key_hash(keys).alias("_h"),
-            *[F.col(k).alias(f"_c_{k}") for k in keys],
-            *[F.col(p).alias(f"_p_{p}") for p in payload],
+    hot = frequent_keys(fact if key_source is None else key_source, keys)
+    rows, copies = fact, lookup
+    condition = F.lit(True)
+    if hot:
+        session = fact.sparkSession
+        split = local_table(session, hot, "_hot long, _pieces long")
+        pieces = F.coalesce(F.col("_pieces"), F.lit(1))
+        dealt = F.pmod(F.xxhash64(*(spread_by or fact.columns)), pieces)
+        is_hot = F.col("_h") == F.col("_hot")
+        rows = (
+            fact.withColumn("_h", key_hash(keys))
+            .join(F.broadcast(split), is_hot, "left")
+            .withColumn("_piece", dealt)
         )
-        .join(hot, F.col("_h") == F.col("_hot"), "left")
-        .withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), pieces - F.lit(1))))
-        .select(
-            F.xxhash64("_h", "_piece").alias("_copy_route"),
-            *[f"_c_{k}" for k in keys],
-            *[f"_p_{p}" for p in payload],
+        every = F.sequence(F.lit(0).cast("bigint"), pieces - F.lit(1))
+        copies = (
+            lookup.withColumn("_h", key_hash(keys))
+            .join(F.broadcast(split), is_hot, "left")
+            .withColumn("_copy", F.explode(every))
         )
+        condition = F.col("_piece") == F.col("_copy")
+    copies = copies.select(
+        *[F.col(k).alias(f"_c_{k}") for k in keys],
+        *[F.col(p).alias(f"_p_{p}") for p in payload],
+        *(["_copy"] if hot else []),
     )
-    condition = F.col("_route") == F.col("_copy_route")
     for key in keys:
         condition = condition & F.col(key).eqNullSafe(F.col(f"_c_{key}"))
     joined = rows.join(copies, condition, "left")
@@ -112,6 +123,7 @@ def with_membership(
     member_key: str,
     out: str,
     key_source: DataFrame | None = None,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Boolean column: does the key occur in ``members``? Null keys do not."""
     known = (
@@ -120,19 +132,35 @@ def with_membership(
         .distinct()
         .withColumn(out, F.lit(True))
     )
-    joined = lookup_join(fact, known, [fact_key], [out], key_source)
+    joined = lookup_join(fact, known, [fact_key], [out], key_source, spread_by)
     return joined.withColumn(out, F.coalesce(F.col(out), F.lit(False)))
 
 
-def semi_join(fact: DataFrame, members: DataFrame, fact_key: str, member_key: str) -> DataFrame:
+def semi_join(
+    fact: DataFrame,
+    members: DataFrame,
+    fact_key: str,
+    member_key: str,
+    spread_by: Sequence[str] | None = None,
+) -> DataFrame:
     """Rows whose key occurs in ``members``."""
-    flagged = with_membership(fact, members, fact_key, member_key, "_member")
+    flagged = with_membership(
+        fact, members, fact_key, member_key, "_member", spread_by=spread_by
+    )
     return flagged.where("_member").drop("_member")
 
 
-def anti_join(fact: DataFrame, members: DataFrame, fact_key: str, member_key: str) -> DataFrame:
+def anti_join(
+    fact: DataFrame,
+    members: DataFrame,
+    fact_key: str,
+    member_key: str,
+    spread_by: Sequence[str] | None = None,
+) -> DataFrame:
     """Rows with a non-null key that does not occur in ``members``."""
-    flagged = with_membership(fact, members, fact_key, member_key, "_member")
+    flagged = with_membership(
+        fact, members, fact_key, member_key, "_member", spread_by=spread_by
+    )
     return flagged.where(~F.col("_member") & F.col(fact_key).isNotNull()).drop("_member")
 
 

@@ -13,6 +13,9 @@ from mercadal.operators.rules import DROP, Context, Rule
 from mercadal.session import materialize
 
 
+PLACE_COLUMNS = ("_file", "_block_start", "_row_id")
+
+
 @dataclass(frozen=True)
 class QualityResult:
     """Lazy frames of one rule set. ``summary`` is one row that both the report
@@ -46,7 +49,8 @@ def apply_rules(
 ) -> QualityResult:
     """Evaluates every rule on the raw rows and filters once at the end, so the
     later copies of a key go even when its first copy is dropped by another rule."""
-    context = Context(as_of, refs or {}, df)
+    place = tuple(c for c in PLACE_COLUMNS if c in df.columns)
+    context = Context(as_of, refs or {}, df, place)
     flagged = df
     for rule in rules:
         flagged = rule.flag_builder(flagged, context, rule.flag)

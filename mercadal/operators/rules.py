@@ -23,12 +23,14 @@ DROP, REPORT = "drop", "report"
 @dataclass(frozen=True)
 class Context:
     """What a rule may need besides the rows being flagged: the reference
-    instant, the frames that foreign keys point to, and the raw frame. Rules
-    that aggregate read the raw frame, not the flags attached so far."""
+    instant, the frames that foreign keys point to, the raw frame, and the
+    columns that tell a row's place. Rules that aggregate read the raw frame,
+    not the flags attached so far."""
 
     as_of: object
     refs: Mapping[str, DataFrame] = field(default_factory=dict)
     raw: DataFrame | None = None
+    place: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -111,7 +113,7 @@ def first_occurrence(
             .agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_first"))
             .where("_n > 1")
         )
-        joined = lookup_join(df, repeated, keys, ["_first"], key_source=raw)
+        joined = lookup_join(df, repeated, keys, ["_first"], key_source=raw, spread_by=order)
         later = F.coalesce(place > F.col("_first"), F.lit(False))
         return joined.withColumn(out, later).drop("_first")
 
@@ -123,7 +125,9 @@ def references(id_: str, column: str, ref: str, ref_column: str, description: st
 
     def build(df: DataFrame, ctx: Context, out: str) -> DataFrame:
         raw = df if ctx.raw is None else ctx.raw
-        known = with_membership(df, ctx.refs[ref], column, ref_column, "_known", key_source=raw)
+        known = with_membership(
+            df, ctx.refs[ref], column, ref_column, "_known", raw, ctx.place or raw.columns
+        )
         orphan = ~F.col("_known") & F.col(column).isNotNull()
         return known.withColumn(out, orphan).drop("_known")
 

@@ -195,15 +195,15 @@ def constraint_report(spark, sf):
 
 
 def fk_orphans(spark, sf):
-    return joins.anti_join(
-        table(spark, sf, "events"), _solvent_users(spark, sf), "user_id", "c_custkey"
-    )
+    events, users = star.numbered(spark, sf, "events"), _solvent_users(spark, sf)
+    orphans = joins.anti_join(events, users, "user_id", "c_custkey", spread_by=star.PLACE)
+    return orphans.drop(*star.PLACE)
 
 
 def fk_valid(spark, sf):
-    return joins.semi_join(
-        table(spark, sf, "events"), _solvent_users(spark, sf), "user_id", "c_custkey"
-    )
+    events, users = star.numbered(spark, sf, "events"), _solvent_users(spark, sf)
+    valid = joins.semi_join(events, users, "user_id", "c_custkey", spread_by=star.PLACE)
+    return valid.drop(*star.PLACE)
 
 
 def iqr_outliers(spark, sf):

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from mercadal.operators import joins
 from mercadal.operators.joins import anti_join, lookup_join, semi_join
 from mercadal.operators.quality import first_rows
 from mercadal.plans import silver
@@ -161,7 +162,20 @@ def skewed(spark, n=30_000):
     return spark.range(0, n, 1, 6).select(key.alias("k"), F.col("id").alias("v"))
 
 
-def test_lookup_join_on_hot_and_null_keys(spark):
+@pytest.fixture
+def splitting(monkeypatch):
+    """Splits keys at test size, too."""
+    monkeypatch.setattr(joins, "MIN_PIECE_ROWS", 1)
+
+
+def test_small_frames_are_not_split(spark):
+    assert joins.frequent_keys(skewed(spark), ["k"]) == []
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_lookup_join_on_hot_and_null_keys(spark, monkeypatch, split):
+    if split:
+        monkeypatch.setattr(joins, "MIN_PIECE_ROWS", 1)
     fact = skewed(spark)
     lookup = local_table(
         spark, [(0, "zero"), (4, "four"), (None, "null"), (-1, "no rows")], "k long, name string"
@@ -173,12 +187,11 @@ def test_lookup_join_on_hot_and_null_keys(spark):
     assert found == {"zero": 10_000, "four": 1, "null": 10_000, None: 9_999}
 
 
-def test_hot_key_is_spread_over_tasks(spark):
+def test_hot_key_is_spread_over_tasks(spark, splitting):
     """With broadcasting off, no task of the join gets the whole hot key."""
-    from mercadal.operators.joins import hot_hashes
-
-    hot = {r._hot: r._pieces for r in hot_hashes(skewed(spark), ["k"]).collect()}
-    assert max(hot.values()) > 1000 and sum(hot.values()) <= 4096 + 256
+    hot = dict(joins.frequent_keys(skewed(spark), ["k"]))
+    assert sorted(hot.values())[-2] > 1000
+    assert len(hot) <= joins.HOT_KEYS and sum(hot.values()) <= joins.PIECES + joins.HOT_KEYS
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
@@ -193,6 +206,32 @@ def test_hot_key_is_spread_over_tasks(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+def test_many_frequent_keys_stay_bounded(spark, splitting):
+    fact = spark.range(0, 20_000, 1, 4).select(F.pmod("id", F.lit(500)).alias("k"), "id")
+    hot = joins.frequent_keys(fact, ["k"])
+    assert 0 < len(hot) <= joins.HOT_KEYS
+    lookup = spark.range(0, 500, 2).select(F.col("id").alias("k"), F.lit("even").alias("t"))
+    joined = lookup_join(fact, lookup, ["k"], ["t"])
+    assert joined.count() == 20_000 and joined.where("t is not null").count() == 10_000
+
+
+def test_rules_with_split_keys(spark, splitting):
+    """A third of the rows share one id and one user."""
+    rows = [
+        {"transaction_id": "TXN-000000" if i % 3 == 0 else f"TXN-{i:06d}", "amount": str(i + 1)}
+        for i in range(300)
+    ]
+    clean, result = silver.validate_transactions(
+        feed(spark, TXN, TRANSACTION_COLUMNS, rows), AS_OF
+    )
+    assert counts(result)["R02"] == 99 and clean.count() == 201
+    assert clean.where("transaction_id = 'TXN-000000'").first().amount == 1.0
+    visits = [{"event_id": f"EVT-{i:07d}", "user_id": "U1" if i % 3 else "U2"} for i in range(300)]
+    known = local_table(spark, [("U1",)], "user_id string")
+    _, result = silver.validate_events(feed(spark, EVT, EVENT_COLUMNS, visits), known, AS_OF)
+    assert counts(result)["R06"] == 100
+
+
 def test_semi_and_anti_join(spark):
     fact = local_table(spark, [(1,), (2,), (2,), (None,)], "k int")
     members = local_table(spark, [(2,), (2,), (None,)], "m int")
