@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercadal.session import local_table
@@ -44,23 +45,22 @@ def frequent_keys(df: DataFrame, keys: Sequence[str]) -> list[tuple[int, int]]:
             F.count(F.lit(1)).alias("_rows"),
         )
     )
-    # a null item carries the rows of the group
+    # a null item carries the rows of the group; summed it is the row count
     whole = F.struct(F.lit(None).cast("bigint").alias("item"), F.col("_rows").alias("count"))
-    summed = (
+    top = (
         reported.select(F.explode(F.concat("_top", F.array(whole))).alias("_t"))
         .groupBy(F.col("_t.item").alias("_hot"))
         .agg(F.sum("_t.count").alias("_n"))
+        .orderBy(F.col("_hot").isNull().desc(), F.desc("_n"), "_hot")
+        .limit(HOT_KEYS + 1)
+        .collect()
     )
-    # SKETCH_GROUPS x HOT_KEYS rows at most
-    rows = F.sum(F.when(F.col("_hot").isNull(), F.col("_n"))).over(Window.partitionBy())
-    piece = F.greatest(rows / F.lit(float(PIECES)), F.lit(float(MIN_PIECE_ROWS)))
-    split = (
-        summed.withColumn("_pieces", F.ceil(F.col("_n") / piece))
-        .where((F.col("_pieces") > 1) & F.col("_hot").isNotNull())
-        .orderBy(F.desc("_n"), "_hot")
-        .limit(HOT_KEYS)
-    )
-    return [(row["_hot"], row["_pieces"]) for row in split.select("_hot", "_pieces").collect()]
+    if not top:
+        return []
+    piece = max(top[0]["_n"] / PIECES, MIN_PIECE_ROWS)
+    return [
+        (row["_hot"], math.ceil(row["_n"] / piece)) for row in top[1:] if row["_n"] > piece
+    ]
 
 
 def lookup_join(
