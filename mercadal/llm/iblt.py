@@ -31,10 +31,10 @@ from mercadal.operators.ranking import distributed_row_number
 
 PARAGRAPH_END = r"\n|(?<=[.!?])[ \t]+"
 BASE_CELLS = 8  # per table
-GROUP_ITEMS = 8
-SIZES = (16, 32, 64, 128)
+GROUP_ITEMS = 12  # a group gets six to twelve items on average
+SIZES = (8, 16, 32, 64, 128)
 ROUNDS = 16
-CELL = "struct<n:bigint,key:bigint,chk:bigint>"
+TABLES = ("a", "b", "c")
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -63,29 +63,25 @@ def items_of(text: Column) -> Column:
 
 
 def spot(key: Column, n: Column, cells: Column) -> Column:
-    """An item with its check and its cell in each table of ``cells`` cells."""
+    """An item with its check and its cell in each of the tables of ``cells`` cells."""
 
     def place(h: Column) -> Column:
         mask = cells - 1
-        return F.struct(
-            n.alias("n"), key.alias("key"), F.shiftright(h, 32).alias("chk"), h.bitwiseAND(mask).alias("a"),
-            (F.shiftright(h, 8).bitwiseAND(mask) + cells).alias("b"),
-            (F.shiftright(h, 16).bitwiseAND(mask) + cells * 2).alias("c"),
-        )
+        found = [F.shiftright(h, 8 * k).bitwiseAND(mask).cast("int").alias(t) for k, t in enumerate(TABLES)]
+        return F.struct(n.alias("n"), key.alias("key"), F.shiftright(h, 32).alias("chk"), *found)
 
     return let(F.xxhash64(key, cells), place)
 
 
-def put(cell: Column, index: Column, spots: Column, sign: int) -> Column:
+def put(cell: Column, index: Column, table: str, spots: Column, sign: int) -> Column:
     """The cell after adding (1) or taking away (-1) the items that belong to it."""
 
     def one(state: Column, s: Column) -> Column:
+        n = state["n"] + s["n"] if sign > 0 else state["n"] - s["n"]
         changed = F.struct(
-            (state["n"] + s["n"] * sign).alias("n"),
-            state["key"].bitwiseXOR(s["key"]).alias("key"),
-            state["chk"].bitwiseXOR(s["chk"]).alias("chk"),
+            n.alias("n"), state["key"].bitwiseXOR(s["key"]).alias("key"), state["chk"].bitwiseXOR(s["chk"]).alias("chk")
         )
-        return F.when((s["a"] == index) | (s["b"] == index) | (s["c"] == index), changed).otherwise(state)
+        return F.when(s[table] == index, changed).otherwise(state)
 
     return F.aggregate(spots, cell, one)
 
@@ -94,50 +90,64 @@ def long(value: int) -> Column:
     return F.lit(value).cast("long")
 
 
-def sketch(items: Column, cells: Column) -> Column:
-    """Three tables of ``cells`` cells, one after the other."""
+def per_table(make: Callable[[str], Column]) -> Column:
+    return F.struct(*[make(t).alias(t) for t in TABLES])
+
+
+def sketch(items: Column, cells: Column, sign: Callable[[Column], tuple[Column, Column]] | None = None) -> Column:
+    """Three tables of ``cells`` cells. ``sign`` gives digest and count of an entry
+    of ``items``; by itself each entry is a digest of count 1."""
     empty = F.struct(long(0).alias("n"), long(0).alias("key"), long(0).alias("chk"))
-    spots = F.transform(items, lambda x: spot(x, long(1), cells))
-    return let(spots, lambda s: F.transform(F.sequence(long(0), cells * 3 - 1), lambda i: put(empty, i, s, 1)))
+    spots = F.transform(items, lambda x: spot(*(sign(x) if sign else (x, long(1))), cells))
+    places = F.sequence(F.lit(0), cells.cast("int") - 1)
+    return let(spots, lambda s: per_table(lambda t: F.transform(places, lambda i: put(empty, i, t, s, 1))))
 
 
 def subtracted(a: Column, b: Column) -> Column:
-    return F.zip_with(
-        a, b,
-        lambda x, y: F.struct(
+    def cell(x: Column, y: Column) -> Column:
+        return F.struct(
             (x["n"] - y["n"]).alias("n"), x["key"].bitwiseXOR(y["key"]).alias("key"), x["chk"].bitwiseXOR(y["chk"]).alias("chk")
-        ),
-    )
+        )
+
+    return per_table(lambda t: F.zip_with(a[t], b[t], cell))
 
 
 def peeled(difference: Column, cells: Column) -> Column:
-    """struct(cells, found): what is left and the digests recovered."""
-    start = F.struct(difference.alias("cells"), F.array().cast("array<bigint>").alias("found"))
+    """struct(cells, found, done): what is left and the digests recovered."""
+    none = F.array().cast("array<bigint>")
+    start = F.struct(difference.alias("cells"), none.alias("found"), F.lit(False).alias("done"))
 
     def round_(state: Column, _i: Column) -> Column:
-        alone = F.filter(state["cells"], lambda c: F.abs(c["n"]) == 1)
+        return F.when(state["done"], state).otherwise(next_state(state))
+
+    def next_state(state: Column) -> Column:
+        alone = F.concat(*[F.filter(state["cells"][t], lambda c: F.abs(c["n"]) == 1) for t in TABLES])
         spots = F.transform(alone, lambda c: F.struct(spot(c["key"], c["n"], cells).alias("s"), c["chk"].alias("chk")))
         true = F.filter(spots, lambda x: x["s"]["chk"] == x["chk"])
         pure = F.array_distinct(F.transform(true, lambda x: x["s"]))
 
         def take(p: Column) -> Column:
-            left = F.transform(state["cells"], lambda c, i: put(c, i.cast("long"), p, -1))
+            left = per_table(lambda t: F.transform(state["cells"][t], lambda c, i: put(c, i, t, p, -1)))
             found = F.concat(state["found"], F.transform(p, lambda s: s["key"]))
-            return F.when(F.size(p) > 0, F.struct(left.alias("cells"), found.alias("found"))).otherwise(state)
+            stuck = F.struct(state["cells"].alias("cells"), state["found"].alias("found"), F.lit(True).alias("done"))
+            peeled_on = F.struct(left.alias("cells"), found.alias("found"), F.lit(False).alias("done"))
+            return F.when(F.size(p) > 0, peeled_on).otherwise(stuck)
 
         return let(pure, take)
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, round_)
 
 
-def recovered(a: Column, b: Column, cells: Column) -> Column:
-    """Number of digests that peeling recovers from two sketches; null if some stay."""
+def recovered(difference: Column, cells: Column) -> Column:
+    """Number of digests that peeling recovers from the difference of two
+    sketches; null if some stay."""
 
     def judge(p: Column) -> Column:
-        clear = F.forall(p["cells"], lambda c: (c["n"] == 0) & (c["key"] == 0) & (c["chk"] == 0))
+        # an item left over would stand in each table
+        clear = F.forall(p["cells"][TABLES[0]], lambda c: (c["n"] == 0) & (c["key"] == 0) & (c["chk"] == 0))
         return F.when(clear, F.size(p["found"]))
 
-    return let(peeled(subtracted(a, b), cells), judge)
+    return let(peeled(difference, cells), judge)
 
 
 def grouped_difference(a: Column, b: Column) -> Column:
@@ -178,34 +188,35 @@ def grouped_difference(a: Column, b: Column) -> Column:
 
 
 def group_difference(part: Column) -> Column:
-    def keys(left: bool) -> Column:
-        return F.transform(F.filter(part, lambda x: x["left"] == left), lambda x: x["key"])
+    """Number of differing digests of a group. Adding the items of one side and
+    taking those of the other away gives the difference of their sketches."""
 
-    def retried(p: Column) -> Column:
-        def attempt(done: Column, cells: Column) -> Column:
-            tried = recovered(sketch(p["a"], cells), sketch(p["b"], cells), cells)
-            return F.when(done.isNotNull(), done).otherwise(tried)
+    def signed(x: Column) -> tuple[Column, Column]:
+        return x["key"], F.when(x["left"], long(1)).otherwise(long(-1))
 
-        sizes = F.array(*[long(c) for c in SIZES])
-        exact = F.size(F.array_except(p["a"], p["b"])) + F.size(F.array_except(p["b"], p["a"]))
-        return F.coalesce(F.aggregate(sizes, F.lit(None).cast("int"), attempt), exact)
+    def attempt(done: Column, cells: Column) -> Column:
+        return F.when(done.isNotNull(), done).otherwise(recovered(sketch(part, cells, signed), cells))
 
-    return let(F.struct(keys(True).alias("a"), keys(False).alias("b")), retried)
+    def keys(left: bool) -> Column:
+        return F.transform(F.filter(part, lambda x: x["left"] == left), lambda x: x["key"])
+
+    sizes = F.array(*[long(c) for c in SIZES])
+    exact = F.size(F.array_except(keys(True), keys(False))) + F.size(F.array_except(keys(False), keys(True)))
+    return F.coalesce(F.aggregate(sizes, F.lit(None).cast("int"), attempt), exact)
 
 
 def likeness(items: Column, cells: Column, other_items: Column, other_cells: Column) -> Column:
     """One minus the share of differing items, by the base sketches and, where
     they hold too much, by grouped ones."""
-    base = recovered(cells, other_cells, long(BASE_CELLS))
+    base = recovered(subtracted(cells, other_cells), long(BASE_CELLS))
     differing = F.coalesce(base, grouped_difference(items, other_items))
     return 1 - differing / (F.size(items) + F.size(other_items))
 
 
 def serialised(cells: Column) -> Column:
     """The sketch as text: count, digest and check of each cell in hexadecimal."""
-    return F.array_join(
-        F.transform(cells, lambda c: F.concat_ws(":", F.hex(c["n"]), F.hex(c["key"]), F.hex(c["chk"]))), ","
-    )
+    every = F.concat(*[cells[t] for t in TABLES])
+    return F.array_join(F.transform(every, lambda c: F.concat_ws(":", F.hex(c["n"]), F.hex(c["key"]), F.hex(c["chk"]))), ",")
 
 
 def followers(docs: DataFrame) -> DataFrame:
@@ -228,22 +239,21 @@ def same(a: str, a_hash: str, b: str, b_hash: str) -> Column:
 
 
 def edited_pairs(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_chars, text, edited, next_items) of every row of ``docs``."""
+    """(doc_id, n_chars, text, edited, next_items) of every row of ``docs``. Both
+    joins take the same columns, so the texts are shuffled once."""
     text = text_or_empty()
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), F.length(text).cast("long").alias("n_chars"),
-        text.alias("text"),
-    )
-    links = followers(rows).withColumnsRenamed({"doc_id": "id", "hash": "h"})
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), text.alias("text"))
+    links = followers(rows.withColumn("n_chars", F.length("text"))).withColumnsRenamed({"doc_id": "id", "hash": "h"})
     sent = rows.join(links, same("doc_id", "hash", "id", "h")).select(
         "before_id", "before_hash", F.substring("text", F.lit(1), F.col("want")).alias("head"), items_of(F.col("text")).alias("next_items"),
-        "id", "h",
     )
     # rows alike in id and text send the same; one of them is enough
-    sent = sent.dropDuplicates(["before_id", "before_hash"]).drop("id", "h")
+    sent = sent.groupBy("before_id", "before_hash").agg(F.min(F.struct("head", "next_items")).alias("s"))
+    sent = sent.select("before_id", "before_hash", "s.head", "s.next_items")
     joined = rows.join(sent, same("doc_id", "hash", "before_id", "before_hash"))
-    kept = F.substring("text", F.lit(1), (F.col("n_chars") - F.floor(F.col("n_chars") / 3)).cast("int"))
-    return joined.select("doc_id", "n_chars", "text", F.concat(kept, "head").alias("edited"), "next_items")
+    n_chars = F.length("text")
+    kept = F.substring("text", F.lit(1), (n_chars - F.floor(n_chars / 3)).cast("int"))
+    return joined.select("doc_id", n_chars.cast("long").alias("n_chars"), "text", F.concat(kept, "head").alias("edited"), "next_items")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
