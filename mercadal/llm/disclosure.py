@@ -165,7 +165,8 @@ def disclosing(terms: DataFrame, entities: DataFrame, texts: DataFrame) -> DataF
     pairs = by_line.groupBy("term", "entity").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("lines"))
     pairs = stored(pairs.where(F.col("lines") >= LEAST_LINES), "pii_pairs")
     wanted = pairs.select("term").unionByName(texts.sparkSession.range(1).select(F.lit("").alias("term"))).distinct()
-    counts = stored(corpus_counts(texts).join(wanted, "term", "left_semi"), "pii_counts")
+    # an inner join: a semi join would be moved below the counting and move every word
+    counts = stored(corpus_counts(texts).join(wanted, "term"), "pii_counts")
     blocks = F.lit((counts.where("term = ''").agg(F.max("n")).first() or [None])[0]).cast("double")
     of_entity = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     known = pairs.join(counts.withColumnRenamed("n", "n_t"), "term").join(of_entity, "entity")
