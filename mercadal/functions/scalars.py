@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # Digits after the point that exact sums keep of every addend.
 SCALE = 6
 
+# a plain decimal number: no type suffixes, no hexadecimal forms
+NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 STAMP_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
 
 
@@ -49,7 +51,7 @@ def percent(part: Column, whole: Column, digits: int = 2) -> Column:
 
 def lenient_number(col: Column) -> Column:
     """Text to double; anything that is not a finite number becomes null."""
-    number = col.try_cast("double")
+    number = F.when(col.cast("string").rlike(NUMBER_PATTERN), col.try_cast("double"))
     return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 

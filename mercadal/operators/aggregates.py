@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercadal.functions.scalars import exact_mean, half_up, percent
+from mercadal.session import materialize
 
 
 def without_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -44,15 +45,19 @@ def pivot_sum(
 ) -> DataFrame:
     """``row`` x ``col`` table of sums; absent cells are 0.
 
-    ``values`` is the closed domain of ``col``: no extra job to find it.
+    ``values`` come first, in that order, present or not; other values of ``col``
+    follow, sorted. The total adds every cell that has a column. The cells are
+    summed up and stored before the columns are looked for: they are few.
     """
-    names = list(values)
-    table = df.groupBy(row).pivot(col, names).agg(F.sum(value)).na.fill(0)
+    cells = materialize(
+        df.where(F.col(col).isNotNull()).groupBy(row, col).agg(F.sum(value).alias("_cell")), "cells"
+    )
+    found = {r[0] for r in cells.select(F.col(col).cast("string")).distinct().collect()}
+    names = [*values, *sorted(found - set(values))]
+    table = cells.groupBy(row).pivot(col, names).agg(F.first("_cell")).na.fill(0)
     if total:
-        whole = F.lit(0)
-        for name in names:
-            whole = whole + F.col(f"`{name}`")
-        table = table.withColumn(total, whole)
+        sums = cells.groupBy(F.col(row).alias("_of")).agg(F.sum("_cell").alias(total))
+        table = table.join(sums, F.col(row).eqNullSafe(F.col("_of"))).drop("_of")
     return table
 
 

@@ -89,7 +89,8 @@ def quintiles_by_measure(
     )
     rank = F.col("_rn") - F.col("_first") + F.lit(1)
     size = F.col("_last") - F.col("_first") + F.lit(1)
-    joined = ranked.join(bounds, ranked[measure] == bounds["_measure"])
+    # one row per measure, a handful by contract
+    joined = ranked.join(F.broadcast(bounds), ranked[measure] == bounds["_measure"])
     return joined.withColumn(out, quintile(rank, size)).select(*long.columns, out)
 
 

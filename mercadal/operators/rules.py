@@ -40,6 +40,9 @@ class Rule:
     flag_builder: Callable[[DataFrame, Context, str], DataFrame]
     action: str = DROP
     fields: tuple[str, ...] = ()
+    kind: str = ""
+    allowed: tuple[str, ...] | None = None
+    pattern: str | None = None
 
     @property
     def flag(self) -> str:
@@ -51,11 +54,11 @@ class Rule:
         return f"_n_{self.id}"
 
 
-def _row_rule(id_, description, fields, predicate, action=DROP) -> Rule:
+def _row_rule(id_, description, fields, predicate, kind, **detail) -> Rule:
     def build(df: DataFrame, ctx: Context, out: str) -> DataFrame:
         return df.withColumn(out, F.coalesce(predicate(ctx), F.lit(False)))
 
-    return Rule(id_, description, build, action, tuple(fields))
+    return Rule(id_, description, build, DROP, tuple(fields), kind, **detail)
 
 
 def not_null(id_: str, fields: Sequence[str], description: str) -> Rule:
@@ -65,22 +68,29 @@ def not_null(id_: str, fields: Sequence[str], description: str) -> Rule:
             missing = missing | F.col(name).isNull()
         return missing
 
-    return _row_rule(id_, description, fields, predicate)
+    return _row_rule(id_, description, fields, predicate, "required")
 
 
 def out_of_range(id_: str, column: str, bad: Callable[[Column], Column], description: str) -> Rule:
     """``bad`` maps the column to the violation; null never violates."""
-    return _row_rule(id_, description, [column], lambda _ctx: bad(F.col(column)))
+    return _row_rule(id_, description, [column], lambda _ctx: bad(F.col(column)), "range")
 
 
 def allowed(id_: str, column: str, values: Sequence[str], description: str) -> Rule:
     """For the short vocabularies of a feed; use ``references`` for long ones."""
-    return _row_rule(id_, description, [column], lambda _ctx: ~F.col(column).isin(*values))
+    return _row_rule(
+        id_,
+        description,
+        [column],
+        lambda _ctx: ~F.col(column).isin(*values),
+        "vocabulary",
+        allowed=tuple(values),
+    )
 
 
 def not_future(id_: str, column: str, description: str) -> Rule:
     return _row_rule(
-        id_, description, [column], lambda ctx: F.col(column) > stamp_literal(ctx.as_of)
+        id_, description, [column], lambda ctx: F.col(column) > stamp_literal(ctx.as_of), "future"
     )
 
 
@@ -91,6 +101,8 @@ def matches(id_: str, column: str, pattern: str, description: str) -> Rule:
         description,
         [column],
         lambda _ctx: ~F.coalesce(F.col(column).rlike(pattern), F.lit(False)),
+        "format",
+        pattern=pattern,
     )
 
 
@@ -117,7 +129,7 @@ def first_occurrence(
         later = F.coalesce(place > F.col("_first"), F.lit(False))
         return joined.withColumn(out, later).drop("_first")
 
-    return Rule(id_, description, build, DROP, tuple(keys))
+    return Rule(id_, description, build, DROP, tuple(keys), "key")
 
 
 def references(id_: str, column: str, ref: str, ref_column: str, description: str) -> Rule:
@@ -131,7 +143,7 @@ def references(id_: str, column: str, ref: str, ref_column: str, description: st
         orphan = ~F.col("_known") & F.col(column).isNotNull()
         return known.withColumn(out, orphan).drop("_known")
 
-    return Rule(id_, description, build, DROP, (column,))
+    return Rule(id_, description, build, DROP, (column,), "reference")
 
 
 def iqr_outlier(id_: str, column: str, description: str, factor: float = 3.0) -> Rule:
@@ -143,7 +155,7 @@ def iqr_outlier(id_: str, column: str, description: str, factor: float = 3.0) ->
         judged = cross_one_row(df, limit.withColumnRenamed("threshold", note))
         return judged.withColumn(out, F.coalesce(F.col(column) > F.col(note), F.lit(False)))
 
-    return Rule(id_, description, build, REPORT, (column,))
+    return Rule(id_, description, build, REPORT, (column,), "outlier")
 
 
 def outlier_threshold(df: DataFrame, column: str, factor: float = 3.0) -> DataFrame:

@@ -60,9 +60,8 @@ def pais_por_categoria(ventas: DataFrame, categories: Sequence[str]) -> DataFram
     """Country x category revenue, empty cells 0."""
     cells = ventas.withColumn("_v", F.col("total_ingresos").cast("decimal(24,6)"))
     table = pivot_sum(cells, "country", "category", categories, "_v")
-    return table.select(
-        "country", *[F.col(f"`{c}`").cast("double").alias(c) for c in categories]
-    )
+    rest = [c for c in table.columns if c != "country"]
+    return table.select("country", *[F.col(f"`{c}`").cast("double").alias(c) for c in rest])
 
 
 def comportamiento_dispositivos(events: DataFrame) -> DataFrame:

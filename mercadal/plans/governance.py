@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercadal.functions.scalars import base_name, utc_now_text, whole_seconds
-from mercadal.schemas import CATALOG_VERSION, GOLD_TABLES, LINEAGE, RULE_CATALOG, SOURCES
+from mercadal.schemas import CATALOG_VERSION, GOLD, LINEAGE, RULE_NAMES, feeds
 from mercadal.session import local_table
 
 FIELD_SCHEMA = (
@@ -67,26 +66,35 @@ def lineage_summary(log: DataFrame) -> DataFrame:
 
 
 def field_catalog(spark: SparkSession) -> DataFrame:
-    """One row per documented field."""
+    """One row per feed column, described by what the rules ask of it."""
     rows = []
-    for source in SOURCES:
-        for field in source.campos:
-            f = asdict(field)
+    for feed in feeds():
+        for column in feed.columns:
+            own = feed.rules_of(column)
+            kinds = {r.kind for r in own}
             rows.append(
                 (
-                    source.nombre, f["campo"], f["tipo"], f["descripcion"], f["fuente"],
-                    f["obligatorio"], f["clave_primaria"], f["patron"], f["rango"],
-                    list(f["valores_permitidos"]) if f["valores_permitidos"] else None,
-                    list(f["reglas"]),
+                    feed.name, column, feed.types.get(column, "string"),
+                    "; ".join(r.description for r in own) or None, feed.name,
+                    "required" in kinds, "key" in kinds,
+                    next((r.pattern for r in own if r.pattern), None),
+                    next((r.description for r in own if r.kind == "range"), None),
+                    next((list(r.allowed) for r in own if r.allowed), None),
+                    [r.id for r in own],
                 )
             )
     return local_table(spark, rows, FIELD_SCHEMA)
 
 
 def rule_catalog(spark: SparkSession) -> DataFrame:
-    return local_table(
-        spark, list(RULE_CATALOG), "id string, nombre string, descripcion string, accion string"
-    )
+    """One row per rule id in force; what feeds check under one id is listed together."""
+    found: dict[str, tuple[str, str, list[str]]] = {}
+    for feed in feeds():
+        for rule in feed.rules:
+            entry = found.setdefault(rule.id, (RULE_NAMES[rule.kind], rule.action, []))
+            entry[2].append(f"{feed.name}: {rule.description}")
+    rows = [(i, name, "; ".join(what), action) for i, (name, action, what) in sorted(found.items())]
+    return local_table(spark, rows, "id string, nombre string, descripcion string, accion string")
 
 
 def catalog_document(spark: SparkSession) -> DataFrame:
@@ -99,29 +107,26 @@ def catalog_document(spark: SparkSession) -> DataFrame:
     heads = local_table(
         spark,
         [
-            (i, s.nombre, s.archivo, s.zona_bronze, s.zona_silver, s.formato_origen, s.descripcion)
-            for i, s in enumerate(SOURCES)
+            (i, f.name, f.format, f"bronze/{f.name}", f"silver/{f.name}")
+            for i, f in enumerate(feeds())
         ],
-        "_at int, nombre string, archivo string, zona_bronze string, zona_silver string, "
-        "formato_origen string, descripcion string",
+        "_at int, nombre string, formato_origen string, zona_bronze string, zona_silver string",
     )
     sources = heads.join(per_source, heads["nombre"] == per_source["dataset"]).drop("dataset")
     source_list = sources.agg(
         F.sort_array(
             F.collect_list(
-                F.struct("_at", "nombre", "archivo", "zona_bronze", "zona_silver",
-                         "formato_origen", "descripcion", "campos")
+                F.struct("_at", "nombre", "formato_origen", "zona_bronze", "zona_silver", "campos")
             )
         ).alias("fuentes")
     )
     gold = local_table(
         spark,
         [
-            (g.nombre, g.ruta, g.descripcion, list(g.particionado_por or []), list(g.origen))
-            for g in GOLD_TABLES
+            (g.name, f"gold/{g.name}", list(g.partitioned_by), [f"silver/{f}" for f in g.feeds])
+            for g in GOLD
         ],
-        "nombre string, ruta string, descripcion string, particionado_por array<string>, "
-        "origen array<string>",
+        "nombre string, ruta string, particionado_por array<string>, origen array<string>",
     )
     gold_list = gold.agg(F.collect_list(F.struct("*")).alias("tablas_gold"))
     rules = rule_catalog(spark).agg(

@@ -146,9 +146,8 @@ def region_por_canal(sales: DataFrame, channels: Sequence[str]) -> DataFrame:
         F.round(exact_total(F.col("total")), 0).alias("ingresos")
     )
     table = pivot_sum(cells, "region", "canal", channels, "ingresos", total="TOTAL")
-    return table.select(
-        "region", *[F.col(f"`{c}`").cast("double").alias(c) for c in [*channels, "TOTAL"]]
-    )
+    rest = [c for c in table.columns if c != "region"]
+    return table.select("region", *[F.col(f"`{c}`").cast("double").alias(c) for c in rest])
 
 
 def muestra(sales: DataFrame, products: DataFrame, rows: int = 500) -> DataFrame:

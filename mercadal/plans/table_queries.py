@@ -21,8 +21,8 @@ from mercadal.operators import rules as R
 from mercadal.plans import analytics, gold, governance, sales, star
 from mercadal.plans.pipeline import PipelineConfig, run_pipeline
 from mercadal.plans.star import table
-from mercadal.schemas import TRANSACTION_FEED, all_text, event_rules, transaction_rules
-from mercadal.session import scratch_path
+from mercadal.schemas import RULE_NAMES, TRANSACTION_FEED, all_text, event_rules, transaction_rules
+from mercadal.session import local_table, scratch_path
 from mercadal.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -445,10 +445,14 @@ def field_catalog(spark, sf):
 
 
 def rule_catalog(spark, sf):
-    """The rule catalog with the violations its rules find in the events."""
-    found = dq_report_events(spark, sf).select(F.col("rule").alias("id"), "violations")
-    rules = governance.rule_catalog(spark)
-    return found.join(F.broadcast(rules), "id").select("id", "nombre", "accion", "violations")
+    """The rules that judge the events, under their catalog names, with the
+    violations found; a rule the catalog does not know by id is named by its kind."""
+    found = dq_report_events(spark, sf).select(F.col("rule").alias("id"), "action", "violations")
+    named = [(r.id, RULE_NAMES[r.kind]) for r in star_event_rules()]
+    names = local_table(spark, named, "id string, nombre string")
+    return found.join(F.broadcast(names), "id", "left").select(
+        "id", F.coalesce("nombre", "id").alias("nombre"), F.col("action").alias("accion"), "violations"
+    )
 
 
 # ------------------------------------------------------------ scoring and scaling

@@ -238,3 +238,35 @@ def test_star_load_is_idempotent(spark, tmp_path):
         again["productos"].select(F.col("id").alias("producto_id")), "producto_id", "left_anti"
     )
     assert orphans.count() == 0
+
+
+def test_pivot_keeps_values_outside_the_list(spark):
+    from mercadal.operators.aggregates import pivot_sum
+
+    rows = [("r", "x", 1.0), ("r", "new", 100.0), ("r", None, 5.0), (None, "x", 2.0)]
+    cells = local_table(spark, rows, "row string, col string, v double")
+    table = pivot_sum(cells, "row", "col", ["x", "absent"], "v", total="TOTAL")
+    assert table.columns == ["row", "x", "absent", "new", "TOTAL"]
+    got = {r.row: tuple(r)[1:] for r in table.collect()}
+    assert got == {"r": (1.0, 0.0, 100.0, 101.0), None: (2.0, 0.0, 0.0, 2.0)}
+
+
+def test_numbers_in_other_notations_are_not_numbers(spark):
+    from mercadal.functions.scalars import lenient_number
+
+    texts = ["1.5d", "1.5f", "0x1p3", "1e3", " -2.5 ", ".5", "5.", "", "NaN", "Infinity", None]
+    frame = local_table(spark, [(t,) for t in texts], "t string")
+    got = [r.n for r in frame.select(lenient_number(F.col("t")).alias("n")).collect()]
+    assert got == [None, None, None, 1000.0, -2.5, 0.5, 5.0, None, None, None, None]
+
+
+def test_catalog_follows_the_rules(spark):
+    from mercadal.plans import governance
+    from mercadal.schemas import event_rules, transaction_rules
+
+    ids = {r.id for r in governance.rule_catalog(spark).collect()}
+    assert ids == {r.id for r in [*transaction_rules(), *event_rules()]}
+    fields = {(r.dataset, r.campo): r for r in governance.field_catalog(spark).collect()}
+    assert fields["transacciones", "category"].reglas == ["R04a"]
+    assert fields["transacciones", "transaction_id"].clave_primaria
+    assert not fields["eventos", "page"].obligatorio

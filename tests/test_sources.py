@@ -265,6 +265,6 @@ def test_catalog_document(spark, tmp_path):
     document = spark.read.json(str(tmp_path / "cat")).first()
     assert [f.nombre for f in document.fuentes] == ["transacciones", "eventos"]
     assert sum(len(f.campos) for f in document.fuentes) == 19
-    assert len(document.tablas_gold) == 3 and len(document.reglas_calidad) == 8
+    assert len(document.tablas_gold) == 3 and len(document.reglas_calidad) == 11
     keys = [c.campo for f in document.fuentes for c in f.campos if c.clave_primaria]
     assert keys == ["transaction_id", "event_id"]
