@@ -310,7 +310,11 @@ def learn(pages: DataFrame, sample: int = SAMPLE_PAGES) -> Chain:
     """A chain learned from the layouts and ``sample`` pages of at most
     ``SAMPLE_CHARS`` signs; only those reach the driver."""
     short = pages.where(F.length("html") <= SAMPLE_CHARS).select("page_id", "html")
-    got = short.orderBy(F.xxhash64("page_id"), "page_id", "html").limit(sample).collect()
+    # ids first, so that scan tasks send ids and not pages; a repeated id counts once
+    ids = short.where("page_id is not null").select("page_id").distinct()
+    ids = ids.orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
+    one = short.join(F.broadcast(ids), "page_id").groupBy("page_id").agg(F.min("html").alias("html"))
+    got = one.orderBy("page_id").collect()
     return train(labelled_pages([r.html for r in got]))
 
 
