@@ -186,6 +186,30 @@ def test_redaction_leaves_no_base_span_and_keeps_the_rest(spark, texts):
             assert clean[i] == t
 
 
+@pytest.mark.parametrize("plain_specials", [False, True])
+def test_encoder_equals_the_tokenizer(texts, plain_specials):
+    from tokenizers import Tokenizer
+
+    rng = random.Random(11)
+    letters = "abzAZ0189'sStTlLvVeErRdDmM<|>endoftextEND$#@_-\t\r\n  ÀÞ×ßÿ÷üÜª²İ\u0301Σ一\u0085\u00a0"
+    rows = ["".join(rng.choices(letters, k=rng.randint(0, 60))) for _ in range(4000)]
+    rows += [*[t or "" for t in texts[:40]], *[t or "" for t in ODD], "it's\nIT'S $'s 'll'", "a<|endoftext|>b <|ENDOFTEXT|>"]
+    coder = Tokenizer.from_file(tokens.vocabulary_path())
+    coder.encode_special_tokens = plain_specials
+    own = tokens.PieceEncoder(tokens.vocabulary_path(), plain_specials)
+    for text, got in zip(rows, own.encode(rows), strict=True):
+        wanted = coder.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(got, dtype="<u2").tolist() == wanted, text
+
+
+def test_encoder_forgets_and_finds_again(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 3)
+    own = tokens.PieceEncoder(tokens.vocabulary_path(), False)
+    text = "one two three four five one two 7 seven"
+    assert own.encode([text, text]) == [tokens.PieceEncoder(tokens.vocabulary_path(), False).encode([text])[0]] * 2
+    assert len(own.words) <= 3
+
+
 def test_packing_round_trip(spark, texts):
     from tokenizers import Tokenizer
 
