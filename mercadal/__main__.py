@@ -5,9 +5,11 @@ from __future__ import annotations
 import argparse
 from datetime import UTC, datetime
 
+from pyspark.sql import SparkSession
+
 from mercadal.plans import governance, sales
 from mercadal.plans.pipeline import PipelineConfig, run_pipeline
-from mercadal.session import build_session
+from mercadal.session import build_session, scratch_scope, size_shuffles
 from mercadal.sources.datagen import CHANNEL_WEIGHTS, write_star
 from mercadal.sources.writers import write_text_report, write_zone
 
@@ -33,10 +35,9 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
-def main(argv: list[str] | None = None) -> None:
-    args = parser().parse_args(argv)
-    spark = build_session()
+def run_job(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "medallion":
+        size_shuffles(spark, *filter(None, [args.transacciones_path, args.eventos_path]))
         now = datetime.now(UTC).replace(tzinfo=None, microsecond=0)
         run = run_pipeline(
             spark,
@@ -65,5 +66,12 @@ def main(argv: list[str] | None = None) -> None:
             frame.show(50, truncate=False)
 
 
+def main(argv: list[str] | None = None) -> None:
+    args = parser().parse_args(argv)
+    spark = build_session()
+    with scratch_scope(spark):
+        run_job(spark, args)
+
+
 if __name__ == "__main__":
     main()

@@ -14,8 +14,8 @@ STAMP_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
 
 
 def half_up(col: Column, digits: int) -> Column:
-    """Decimal half-up rounding of a double; binary noise below 1e-8 is no tie-breaker."""
-    return F.round(col.try_cast("decimal(38,8)"), digits).cast("double")
+    """Half-up rounding, in one step, of a double as it is written in decimals."""
+    return F.round(col.cast("double"), digits)
 
 
 def exact_total(col: Column) -> Column:

@@ -10,17 +10,13 @@ from pyspark.sql import functions as F
 
 from mercadal.session import local_table
 
-# Frequent keys are found with sketches of SKETCH_ITEMS items, merged in
-# SKETCH_GROUPS groups that report HOT_KEYS keys each; a key with more than
-# about 1/256 of the rows is sure to be among them. At most HOT_KEYS keys are
-# split; all others take the plain route.
-HOT_KEYS = 256
-SKETCH_ITEMS = 4096
+# A key with more than 1/PIECES of all rows is split in pieces of that size, at
+# any number of rows. There are fewer than PIECES such keys, and sketches of
+# SKETCH_ITEMS items, merged in SKETCH_GROUPS groups that report HOT_KEYS keys
+# each, are sure to hold them all. All other keys take the plain route.
+PIECES = HOT_KEYS = 1024
+SKETCH_ITEMS = 16 * HOT_KEYS
 SKETCH_GROUPS = 256
-# A key is split in pieces of 1/PIECES of all rows, but not of fewer rows than
-# a task takes in its stride.
-PIECES = 4096
-MIN_PIECE_ROWS = 500_000
 
 
 def key_hash(keys: Sequence[str]) -> Column:
@@ -57,7 +53,7 @@ def frequent_keys(df: DataFrame, keys: Sequence[str]) -> list[tuple[int, int]]:
     )
     if not top:
         return []
-    piece = max(top[0]["_n"] / PIECES, MIN_PIECE_ROWS)
+    piece = top[0]["_n"] / PIECES
     return [
         (row["_hot"], math.ceil(row["_n"] / piece)) for row in top[1:] if row["_n"] > piece
     ]

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 
 def r(expr: str, digits: int) -> str:
-    """Half-up rounding on the decimal value instead of on the binary one."""
-    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,8)), {digits}) AS DOUBLE)"
+    """Half-up rounding of the number as it is written, not of the binary one."""
+    return f"CAST(ROUND(CAST(CAST(CAST({expr} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
 def xsum(expr: str) -> str:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +24,12 @@ DEFAULTS = {
 }
 
 
+# bytes of input that one shuffle task should have to deal with
+TASK_BYTES = 128 << 20
+# intermediate tables that this process has asked paths for
+_written: list[str] = []
+
+
 def build_session(
     app: str = "mercadal", master: str | None = None, **conf: str
 ) -> SparkSession:
@@ -70,7 +79,46 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def _file_system(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()), place
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, the intermediate tables that were begun inside it;
+    frames that were built on them cannot be read any more."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        while len(_written) > before:
+            files, place = _file_system(spark, _written.pop())
+            files.delete(place, True)
+
+
+def shuffle_partitions(input_bytes: int, least: int = 1) -> int:
+    return max(least, math.ceil(input_bytes / TASK_BYTES))
+
+
+def size_shuffles(spark: SparkSession, *paths: str) -> int:
+    """Makes shuffles and range partitionings start with one task per
+    ``TASK_BYTES`` of the inputs, or as many as are set if that is more;
+    adaptive execution merges those that prove small."""
+    total = 0
+    for path in paths:
+        files, place = _file_system(spark, path)
+        for found in files.globStatus(place) or []:
+            total += files.getContentSummary(found.getPath()).getLength()
+    number = shuffle_partitions(total, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set("spark.sql.shuffle.partitions", str(number))
+    return number
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from mercadal.oracles import ORACLES
+from mercadal.plans.table_queries import QUERIES
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -40,7 +42,7 @@ def kind(name):
     return {"varchar": "string"}.get(name, name)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, duck, name):
     result = queries()[name](spark, FOLDER)
     rows = [tuple(row) for row in result.collect()]
@@ -59,7 +61,8 @@ def test_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):

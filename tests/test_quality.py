@@ -162,20 +162,13 @@ def skewed(spark, n=30_000):
     return spark.range(0, n, 1, 6).select(key.alias("k"), F.col("id").alias("v"))
 
 
-@pytest.fixture
-def splitting(monkeypatch):
-    """Splits keys at test size, too."""
-    monkeypatch.setattr(joins, "MIN_PIECE_ROWS", 1)
+@pytest.mark.parametrize("n", [300, 30_000])
+def test_keys_are_split_by_share_at_any_size(spark, n):
+    pieces = sorted(joins.frequent_keys(skewed(spark, n), ["k"]), key=lambda r: -r[1])[:2]
+    assert all(abs(got - joins.PIECES / 3) < 2 for _, got in pieces)
 
 
-def test_small_frames_are_not_split(spark):
-    assert joins.frequent_keys(skewed(spark), ["k"]) == []
-
-
-@pytest.mark.parametrize("split", [False, True])
-def test_lookup_join_on_hot_and_null_keys(spark, monkeypatch, split):
-    if split:
-        monkeypatch.setattr(joins, "MIN_PIECE_ROWS", 1)
+def test_lookup_join_on_hot_and_null_keys(spark):
     fact = skewed(spark)
     lookup = local_table(
         spark, [(0, "zero"), (4, "four"), (None, "null"), (-1, "no rows")], "k long, name string"
@@ -187,10 +180,10 @@ def test_lookup_join_on_hot_and_null_keys(spark, monkeypatch, split):
     assert found == {"zero": 10_000, "four": 1, "null": 10_000, None: 9_999}
 
 
-def test_hot_key_is_spread_over_tasks(spark, splitting):
+def test_hot_key_is_spread_over_tasks(spark):
     """With broadcasting off, no task of the join gets the whole hot key."""
     hot = dict(joins.frequent_keys(skewed(spark), ["k"]))
-    assert sorted(hot.values())[-2] > 1000
+    assert sorted(hot.values())[-2] > joins.PIECES / 4
     assert len(hot) <= joins.HOT_KEYS and sum(hot.values()) <= joins.PIECES + joins.HOT_KEYS
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -206,7 +199,7 @@ def test_hot_key_is_spread_over_tasks(spark, splitting):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
-def test_many_frequent_keys_stay_bounded(spark, splitting):
+def test_many_frequent_keys_stay_bounded(spark):
     fact = spark.range(0, 20_000, 1, 4).select(F.pmod("id", F.lit(500)).alias("k"), "id")
     hot = joins.frequent_keys(fact, ["k"])
     assert 0 < len(hot) <= joins.HOT_KEYS
@@ -215,7 +208,7 @@ def test_many_frequent_keys_stay_bounded(spark, splitting):
     assert joined.count() == 20_000 and joined.where("t is not null").count() == 10_000
 
 
-def test_rules_with_split_keys(spark, splitting):
+def test_rules_with_split_keys(spark):
     """A third of the rows share one id and one user."""
     rows = [
         {"transaction_id": "TXN-000000" if i % 3 == 0 else f"TXN-{i:06d}", "amount": str(i + 1)}
