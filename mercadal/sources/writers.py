@@ -129,26 +129,35 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] |
     ).options(**(properties or {})).save()
 
 
-def append_new(df: DataFrame, path: str, key: str) -> DataFrame:
-    """Idempotent load: appends only the rows whose key is not stored yet."""
-    spark = df.sparkSession
+def _loaded(df: DataFrame, path: str) -> DataFrame | None:
+    """What is stored at ``path`` with the columns of ``df``; None without a row."""
     try:
-        present = spark.read.parquet(path)
+        present = df.sparkSession.read.schema(df.schema).parquet(path)
     except Exception as problem:
         if getattr(problem, "getCondition", lambda: None)() != "PATH_NOT_FOUND":
             raise
-        df.write.parquet(path)
-        return spark.read.parquet(path)
-    known = present.select(key).distinct().withColumn("_stored", F.lit(True))
-    fresh = lookup_join(df, known, [key], ["_stored"]).where(F.col("_stored").isNull())
-    fresh.drop("_stored").write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+        return None
+    return None if present.isEmpty() else present
+
+
+def append_new(df: DataFrame, path: str, key: str) -> DataFrame:
+    """Idempotent load: appends one row for each key that is not stored yet;
+    which one, of rows that share a new key, is left open."""
+    batch = df.dropDuplicates([key])
+    present = _loaded(df, path)
+    if present is not None:
+        known = present.select(key).distinct().withColumn("_stored", F.lit(True))
+        batch = lookup_join(batch, known, [key], ["_stored"]).where(F.col("_stored").isNull())
+        batch = batch.drop("_stored")
+    batch.write.mode("append").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def load_once(df: DataFrame, path: str) -> DataFrame:
-    """Skips the load when the target exists already."""
-    df.write.mode("ignore").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Skips the load when the target holds rows already."""
+    if _loaded(df, path) is None:
+        df.write.mode("append").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def assign_keys(dimension: DataFrame, natural_key: str, out: str = "id") -> DataFrame:

@@ -134,6 +134,13 @@ def test_idempotent_and_single_load(spark, tmp_path):
     once = str(tmp_path / "once")
     writers.load_once(rows, once)
     assert writers.load_once(rows, once).count() == 2
+    empty = str(tmp_path / "empty")
+    writers.load_once(rows.where("false"), empty)
+    assert writers.load_once(rows, empty).count() == 2
+    twice = str(tmp_path / "twice")
+    assert writers.append_new(rows.unionByName(rows), twice, "id").count() == 2
+    more = rows.unionByName(rows.withColumn("id", F.col("id") + 10))
+    assert writers.append_new(more.unionByName(more), twice, "id").count() == 4
 
 
 def test_query_results_skip_other_objects(spark, tmp_path):
