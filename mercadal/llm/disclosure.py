@@ -1,13 +1,15 @@
 """Personal data and the terms that give it away.
 
 Base spans follow four fixed patterns. Around them the method looks for terms
-that disclose an entity (one address, number or card): with blocks of 32 tokens
-of a line as units, the corpus gives the information of an entity,
-``ln(N / n_e)``, and how much of it a term carries, the pointwise mutual
-information ``ln(N * n_te / (n_t * n_e))``. Their ratio is the disclosed share.
-A term that meets the entity in at least two different lines and discloses 85 %
-of it is generalised, from 95 % on removed, wherever it shares a block with the
-entity. All counts are taken over all documents.
+that disclose an entity (one address, number or card): with documents as units,
+the corpus gives the information of an entity, ``ln(N / n_e)``, and how much of
+it a term carries, the pointwise mutual information ``ln(N * n_te / (n_t * n_e))``.
+Their ratio is the disclosed share. N, n_t and n_e count all documents with words,
+with the term and with the entity; n_te those where the two meet, that is, stand
+at most 32 tokens apart, across line ends. A term that meets the entity at two
+different places (lines of its own and of the entity, or documents) and discloses
+85 % of it is generalised, from 95 % on removed, throughout every document that
+holds the entity.
 
 Only DataFrame functions are used. No pattern crosses a line end, so lines are
 the unit of work, and offsets come from running sums over matches and gaps.
@@ -35,9 +37,8 @@ PATTERNS = {
 # every text with a base span has one of these
 SUSPECT = r"@[A-Za-z0-9-]+\.|[0-9]\.[0-9]+\.[0-9]+\.[0-9]|(?:[0-9][ -]?){12}[0-9]|\+[0-9][ ().0-9-]"
 TOKEN = r"[\p{L}\p{N}]+"
-BLOCK = 32
+NEAR = 32  # tokens
 LEAST_LETTERS = 3
-LEAST_LINES = 2
 GENERALISE, REMOVE = 0.85, 0.95
 TERM = "term"
 KINDS = [*PATTERNS, TERM]
@@ -84,11 +85,13 @@ def located(rows: DataFrame, by: list[str], found: Column, gaps: Column) -> Data
 
 
 def lines_of(suspects: DataFrame) -> DataFrame:
-    """(row, line_no, line_start, line) of stored (row, text) rows."""
-    each = suspects.where(F.col("text").isNotNull()).select("row", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    """(row, text_hash, line_no, line_start, line) of stored (row, text) rows."""
+    each = suspects.where(F.col("text").isNotNull()).select(
+        "row", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")
+    )
     before = Window.partitionBy("row").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum(F.length("line") + 1).over(before), F.lit(0))
-    return each.select("row", "line_no", start.alias("line_start"), "line")
+    return each.select("row", "text_hash", "line_no", start.alias("line_start"), "line")
 
 
 def base_spans(lines: DataFrame) -> DataFrame:
@@ -109,33 +112,38 @@ def base_spans(lines: DataFrame) -> DataFrame:
 
 
 def corpus_counts(texts: DataFrame) -> DataFrame:
-    """(term, n): in how many blocks of the corpus a term stands; the empty term
-    counts the blocks themselves."""
-    lines = texts.select(F.explode(F.split("text", "\n", -1)).alias("line"))
-    words = lines.select(F.filter(F.split(F.lower("line"), r"[^\p{L}\p{N}]+", -1), lambda w: w != "").alias("words"))
-    starts = F.sequence(F.lit(0), F.floor((F.size("words") - 1) / BLOCK).cast("int"))
-    blocks = F.transform(
-        starts, lambda b: F.concat(F.array(F.lit("")), F.array_distinct(F.slice("words", b * BLOCK + 1, BLOCK)))
-    )
-    terms = words.where(F.size("words") > 0).select(F.explode(F.flatten(blocks)).alias("term"))
+    """(term, n): in how many documents of the corpus a term stands; the empty
+    term counts the documents that have words."""
+    words = F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}]+", -1), lambda w: w != "")
+    words = texts.select(F.array_distinct(words).alias("words")).where(F.size("words") > 0)
+    terms = words.select(F.explode(F.concat(F.array(F.lit("")), "words")).alias("term"))
     return terms.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def marked_tokens(lines: DataFrame, spans: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Terms (row, line_no, line_start, block, term, start, end, line_hash) outside the
-    spans and entities (row, line_no, block, entity), for lines that have spans."""
-    hit = lines.join(spans.select("row", "line_no").distinct(), ["row", "line_no"], "left_semi")
-    hit = hit.withColumn("line_hash", F.xxhash64("line"))
-    by = ["row", "line_no", "line_start", "line_hash"]
-    tokens = located(hit, by, F.regexp_extract_all("line", F.lit(TOKEN), 0), F.split("line", TOKEN, -1))
+    """Terms (row, line_no, line_start, term, start, end, at, place) outside the spans
+    and entities (row, entity, first, last, place), for documents that have spans.
+    ``at``, ``first`` and ``last`` number the tokens of the document, ``place``
+    stands for the text and the line."""
+    hit = lines.join(spans.select("row").distinct(), "row", "left_semi")
+    found = F.regexp_extract_all("line", F.lit(TOKEN), 0)
+    before = Window.partitionBy("row").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
+    hit = hit.withColumn("place", F.xxhash64("text_hash", "line"))
+    hit = hit.withColumn("so_far", F.coalesce(F.sum(F.size(found)).over(before), F.lit(0)))
+    by = ["row", "line_no", "line_start", "place", "so_far"]
+    tokens = located(hit, by, found, F.split("line", TOKEN, -1))
     name = F.when(F.col("kind") == "email", F.lower("value")).when(F.col("kind") == "ip", F.col("value"))
     entity = F.concat_ws(":", "kind", name.otherwise(digits(F.col("value"))))
     null = F.lit(None)
-    events = tokens.select(*by, "start", "end", "i", F.lower("value").alias("term"), null.cast("string").alias("entity"))
+    events = tokens.select(
+        *by, "start", "end", "i", F.lower("value").alias("term"),
+        null.cast("string").alias("entity"), null.cast("int").alias("own"),
+    )
+    placed = spans.join(hit.select("row", "line_no", "place", "so_far"), ["row", "line_no"])
     events = events.unionByName(
-        spans.select(
-            "row", "line_no", "line_start", null.cast("long").alias("line_hash"), "start", "end",
-            null.cast("int").alias("i"), null.cast("string").alias("term"), entity.alias("entity"),
+        placed.select(
+            *by, "start", "end", null.cast("int").alias("i"), null.cast("string").alias("term"), entity.alias("entity"),
+            F.size(F.regexp_extract_all("value", F.lit(TOKEN), 0)).alias("own"),
         )
     )
     # spans come before the tokens that start where they do
@@ -149,29 +157,41 @@ def marked_tokens(lines: DataFrame, spans: DataFrame) -> tuple[DataFrame, DataFr
         F.max("i").over(past).alias("last"),
     )
     index = F.coalesce("i", F.col("last") + 1, F.lit(0))
-    events = stored(events.withColumn("block", F.floor(index / BLOCK)), "pii_tokens")
+    events = stored(events.withColumn("at", F.col("so_far") + index), "pii_tokens")
     free = (F.coalesce("reach", F.lit(0)) <= F.col("start")) & (F.coalesce("next", F.col("end")) >= F.col("end"))
     terms = events.where(F.col("entity").isNull() & free & (F.length("term") >= LEAST_LETTERS))
-    terms = terms.select("row", "line_no", "line_start", "block", "term", "start", "end", "line_hash")
-    entities = events.where("entity is not null").select("row", "line_no", "block", "entity").distinct()
-    return terms, entities
+    terms = terms.select("row", "line_no", "line_start", "term", "start", "end", "at", "place")
+    last = F.col("at") + F.greatest("own", F.lit(1)) - 1
+    entities = events.where("entity is not null")
+    return terms, entities.select("row", "entity", F.col("at").alias("first"), last.alias("last"), "place").distinct()
+
+
+def meetings(terms: DataFrame, entities: DataFrame) -> DataFrame:
+    """(row, term, entity, place, e_place) of terms at most ``NEAR`` tokens from an entity."""
+    cells = F.sequence(F.floor((F.col("first") - NEAR) / NEAR), F.floor((F.col("last") + NEAR) / NEAR))
+    around = entities.select("row", "entity", "first", "last", F.col("place").alias("e_place"), F.explode(cells).alias("cell"))
+    both = terms.withColumn("cell", F.floor(F.col("at") / NEAR)).join(around, ["row", "cell"])
+    both = both.where(F.col("at").between(F.col("first") - NEAR, F.col("last") + NEAR))
+    return both.select("row", "term", "entity", "place", "e_place")
 
 
 def disclosing(terms: DataFrame, entities: DataFrame, texts: DataFrame) -> DataFrame:
     """(term, entity, removed): terms that disclose more than the thresholds allow."""
-    cell = ["row", "line_no", "block"]
-    together = terms.select(*cell, "term", "line_hash").distinct().join(entities, cell)
-    by_line = together.groupBy("term", "entity", "line_hash").agg(F.count(F.lit(1)).alias("n"))
-    pairs = by_line.groupBy("term", "entity").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("lines"))
-    pairs = stored(pairs.where(F.col("lines") >= LEAST_LINES), "pii_pairs")
+    pair = ["term", "entity"]
+    # two different places are there just when the least and the greatest differ
+    ends = [f(c).alias(f"{f.__name__}_{c}") for c in ("place", "e_place") for f in (F.min, F.max)]
+    by_row = meetings(terms, entities).groupBy("row", *pair).agg(*ends)
+    apart = [F.min(f"min_{c}") < F.max(f"max_{c}") for c in ("place", "e_place")]
+    pairs = by_row.groupBy(*pair).agg(F.count(F.lit(1)).alias("n_te"), (apart[0] & apart[1]).alias("apart"))
+    pairs = stored(pairs.where("apart").drop("apart"), "pii_pairs")
     wanted = pairs.select("term").unionByName(texts.sparkSession.range(1).select(F.lit("").alias("term"))).distinct()
     # an inner join: a semi join would be moved below the counting and move every word
     counts = stored(corpus_counts(texts).join(wanted, "term"), "pii_counts")
-    blocks = F.lit((counts.where("term = ''").agg(F.max("n")).first() or [None])[0]).cast("double")
-    of_entity = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    documents = F.lit((counts.where("term = ''").agg(F.max("n")).first() or [None])[0]).cast("double")
+    of_entity = entities.select("row", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     known = pairs.join(counts.withColumnRenamed("n", "n_t"), "term").join(of_entity, "entity")
-    share = 1 - F.log(F.col("n_t") / F.col("n_te")) / F.log(blocks / F.col("n_e"))
-    known = known.withColumn("share", F.when(blocks > F.col("n_e"), share))
+    share = 1 - F.log(F.col("n_t") / F.col("n_te")) / F.log(documents / F.col("n_e"))
+    known = known.withColumn("share", F.when(documents > F.col("n_e"), share))
     return known.where(F.col("share") >= GENERALISE).select("term", "entity", (F.col("share") >= REMOVE).alias("removed"))
 
 
@@ -181,8 +201,9 @@ def all_spans(suspects: DataFrame, texts: DataFrame) -> DataFrame:
     base = stored(base_spans(lines), "pii_base")
     terms, entities = marked_tokens(lines, base)
     found = disclosing(terms, entities, texts)
-    shown = terms.join(entities, ["row", "line_no", "block"]).join(found, ["term", "entity"])
-    shown = shown.groupBy("row", "line_no", "line_start", "start", "end").agg(F.max("removed").alias("removed"))
+    told = entities.select("row", "entity").distinct().join(found, "entity")
+    told = told.groupBy("row", "term").agg(F.max("removed").alias("removed"))
+    shown = terms.join(told, ["row", "term"]).select("row", "line_no", "line_start", "start", "end", "removed")
     columns = ["row", "line_no", "line_start", "kind", "start", "end", "removed"]
     both = base.withColumn("removed", F.lit(False)).select(*columns).unionByName(
         shown.withColumn("kind", F.lit(TERM)).select(*columns)
