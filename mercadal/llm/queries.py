@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from mercadal.llm import chat
+from mercadal.llm import chat, phrases
 from mercadal.llm.bradley_terry import quality_scores
 from mercadal.llm.disclosure import personal_data
 from mercadal.llm.html_crf import extract
@@ -12,6 +12,7 @@ from mercadal.llm.separators import token_counts
 from mercadal.llm.simhash import near_duplicates
 from mercadal.llm.tables import table
 from mercadal.llm.url_templates import judge_urls
+from mercadal.llm.whitening import whitened
 from mercadal.llm.winnowing import contamination
 from mercadal.session import local_table
 
@@ -60,5 +61,13 @@ def op10_bradley_terry(spark, folder):
     return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_whitening(spark, folder):
+    return whitened(table(spark, folder, "embeddings"))
+
+
+def op12_toivonen_phrases(spark, folder):
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op") and callable(f)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op12_toivonen_phrases": phrases.SQL}
