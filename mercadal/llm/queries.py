@@ -10,6 +10,7 @@ from mercadal.llm.iblt import fingerprints
 from mercadal.llm.packing import concat_and_cut
 from mercadal.llm.separators import token_counts
 from mercadal.llm.simhash import near_duplicates
+from mercadal.llm.suffixes import repeats_removed
 from mercadal.llm.tables import table
 from mercadal.llm.url_templates import judge_urls
 from mercadal.llm.whitening import whitened
@@ -69,5 +70,9 @@ def op12_toivonen_phrases(spark, folder):
     return phrases.collocations(table(spark, folder, "documents"))
 
 
+def op13_suffix_array(spark, folder):
+    return repeats_removed(table(spark, folder, "documents"))
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op") and callable(f)}
 ORACLES: dict[str, str] = {"op12_toivonen_phrases": phrases.SQL}
