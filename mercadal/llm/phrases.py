@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from mercadal.llm.tables import slices, stored, text_or_empty, utf8_values
+from mercadal.llm.tables import packed, runs_of, slices, stored, text_or_empty, unpacked, utf8_values
 
 LEAST = 30
 LONGEST = 4
@@ -41,11 +41,13 @@ TOP = 2000
 COVERED = 80  # a phrase goes if COVERED % of its occurrences lie in a longer one
 SAMPLE_ONE_IN = 8
 SAMPLE_LEAST = 2  # about half of LEAST / SAMPLE_ONE_IN
-SLICE = 8 << 20
+SLICE = 4 << 20
+BUCKET_TEXT = 4 << 20  # bytes of text behind one group of phrases
 MAX_BITS = 30
 SALTS = 64
 UNKNOWN = "und"
 COUNTS = "lang string, phrase string, n long"
+SPACE = pa.scalar(b" ", pa.large_binary())
 
 
 def _byte_table() -> bytes:
@@ -144,65 +146,119 @@ def words_of(texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
     return number[ids[ids != blank]], words
 
 
-class Grams:
-    """The phrases of one length that stand in some texts: where each starts
-    (``at``), which of the distinct ones it is (``which``), and of those the
-    hash, a place of occurrence and the count."""
-
-    def __init__(self, at: np.ndarray, keys: np.ndarray, hashes: np.ndarray):
-        self.at = at
-        _, first, self.which, self.count = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-        self.hash, self.place = hashes[first], at[first]
-
-
-def counted_phrases(ids: np.ndarray, hashes: np.ndarray, known: list[Filter], done: list[Filter] | None) -> Iterator[tuple[int, Grams, np.ndarray]]:
-    """(length, phrases, which of them) to be counted: both parts known, unless
-    they were so in an earlier pass. ``done`` is None in the first pass, which
-    counts the words too."""
-    at = np.flatnonzero(ids >= 0)
-    grams = Grams(at, ids[at], hashes[ids[at]])
+class Counted:
+    """Distinct phrases of one length with their counts; ``words`` holds their
+    word numbers, a row for each place in the phrase."""
+
+    def __init__(self, ids: np.ndarray, at: np.ndarray, length: int, size: int):
+        width = max(int(size).bit_length(), 1)
+        keys, used, ranks = ids[at].astype(np.int64), width, []
+        for j in range(1, length):
+            if used + width > 62:  # numbers of the phrases so far, as these fit
+                heads, keys = np.unique(keys, return_inverse=True)
+                ranks.append((j, heads))
+                used = int(len(heads)).bit_length()
+            keys = keys << width | ids[at + j]
+            used += width
+        keys, self.count = np.unique(keys, return_counts=True)
+        self.words: list[np.ndarray] = []
+        for j in range(length - 1, -1, -1):
+            if ranks and ranks[-1][0] == j + 1:
+                keys = ranks.pop()[1][keys]
+            self.words.insert(0, keys & ((1 << width) - 1) if j else keys)
+            keys = keys >> width
+
+
+def counted_phrases(ids: np.ndarray, hashes: np.ndarray, known: list[Filter], done: list[Filter] | None) -> Iterator[Counted]:
+    """The phrases to be counted: both parts known, unless they were so in an
+    earlier pass. ``done`` is None in the first pass, which counts the words too."""
+    if not len(hashes):
+        return
+    is_word = ids >= 0
     if done is None:
-        yield 1, grams, np.arange(len(grams.count))
+        yield Counted(ids, np.flatnonzero(is_word), 1, len(hashes))
+    word = hashes[ids]
+    head, live, old = word, in_any(known, hashes)[ids] & is_word, in_any(done or [], hashes)[ids] & is_word
     for length in range(2, LONGEST + 1):
-        is_known = in_any(known, grams.hash)
-        if not is_known.any():
-            return
-        was_known = in_any(done, grams.hash) if done else np.zeros(len(is_known), dtype=bool)
-        # the phrases of one word less from each place on, -1 where not known
-        part = np.full(len(ids) + 1, -1)
-        live = is_known[grams.which]
-        part[grams.at[live]] = grams.which[live]
-        at = np.flatnonzero((part[:-1] >= 0) & (part[1:] >= 0))
+        # a phrase from each place on that has both parts
+        live = live[:-1] & live[1:]
+        old = old[:-1] & old[1:]
+        wanted = np.flatnonzero(live & ~old)
+        if len(wanted):
+            yield Counted(ids, wanted, length, len(hashes))
+        at = np.flatnonzero(live)
         if not len(at):
             return
-        head, tail = part[at], part[at + 1]
-        last = ids[at + length - 1]
-        longer = Grams(at, head << 32 | last, follow(grams.hash[head], hashes[last]))
-        old = was_known[part[longer.place]] & was_known[part[longer.place + 1]]
-        yield length, longer, np.flatnonzero(~old)
-        grams = longer
-
-
-def counts(docs: DataFrame, known: list[Filter], done: list[Filter] | None) -> DataFrame:
-    """(lang, phrase, n) over ``docs``; in the first pass also, with a null
-    phrase, the number of words."""
+        head = head[: len(live)].copy()
+        head[at] = follow(head[at], word[at + length - 1])
+        live[at] = in_any(known, head[at])
+        old[at] &= in_any(done or [], head[at])
+
+
+ROWS = {"lang": pa.string(), "bucket": pa.int64(), "data": pa.binary()}
+
+
+def phrase_hashes(words: list[np.ndarray], hashes: np.ndarray) -> np.ndarray:
+    head = hashes[words[0]]
+    for w in words[1:]:
+        head = follow(head, hashes[w])
+    return head
+
+
+def count_texts(lang: str, texts: list[bytes], known: list[Filter], done: list[Filter] | None, buckets: int) -> pa.RecordBatch:
+    """Counts of some texts, dealt by the hash of the phrase: per bucket lengths
+    and bytes of the phrases and their counts. Bucket -1 has the number of words."""
+    ids, words = words_of(texts)
+    hashes = word_hashes(words, seed_of(lang))
+    dictionary = pa.array(words, pa.large_binary())
+    phrases, number, bucket = [], [], []
+    for c in counted_phrases(ids, hashes, known, done):
+        parts = [dictionary.take(pa.array(w)) for w in c.words]
+        phrases.append(pc.binary_join_element_wise(*parts, SPACE) if len(parts) > 1 else parts[0])
+        number.append(c.count)
+        bucket.append((phrase_hashes(c.words, hashes) >> np.uint64(16)) % np.uint64(buckets))
+    out = {"lang": [], "bucket": [], "data": []}
+    if done is None:
+        out = {"lang": [lang], "bucket": [-1], "data": [packed(np.array([(ids >= 0).sum()]))]}
+    if phrases:
+        home = np.concatenate(bucket).astype(np.int64)
+        order = np.argsort(home, kind="stable")
+        count, home = np.concatenate(number)[order], home[order]
+        text = pa.concat_arrays(phrases).take(pa.array(order))
+        ends = np.frombuffer(text.buffers()[1], dtype=np.int64, count=len(text) + 1)
+        data = np.frombuffer(text.buffers()[2], dtype=np.uint8)
+        for a, b in runs_of(home):
+            out["lang"].append(lang)
+            out["bucket"].append(int(home[a]))
+            sizes = np.diff(ends[a : b + 1])
+            out["data"].append(packed(sizes.astype(np.uint32), data[ends[a] : ends[b]], count[a:b].astype(np.uint32)))
+    return pa.RecordBatch.from_arrays([pa.array(out[k], t) for k, t in ROWS.items()], names=list(ROWS))
+
+
+def add_counts(least: int):
+    """Phrases of a bucket with ``least`` occurrences or more; words in bucket -1."""
+
+    def run(group: pa.Table) -> pa.Table:
+        lang, parts = group["lang"][0].as_py(), [unpacked(raw) for raw in group["data"].to_pylist()]
+        if group["bucket"][0].as_py() < 0:
+            return pa.table({"lang": [lang], "phrase": pa.array([None], pa.string()), "n": [sum(int(p[0][0]) for p in parts)]})
+        sizes, data, count = (np.concatenate(x) for x in zip(*parts, strict=True))
+        ends = np.append(0, np.cumsum(sizes, dtype=np.int64))
+        phrases = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+        summed = pa.table({"phrase": phrases, "n": count.astype(np.int64)}).group_by("phrase").aggregate([("n", "sum")])
+        summed = summed.filter(pc.greater_equal(summed["n_sum"], least))
+        return pa.table(
+            {"lang": pa.array([lang] * len(summed), pa.string()), "phrase": summed["phrase"].cast(pa.string()), "n": summed["n_sum"]}
+        )
+
+    return run
+
+
+def counts(docs: DataFrame, known: list[Filter], done: list[Filter] | None, least: int, buckets: int) -> DataFrame:
+    """(lang, phrase, n) of the phrases with ``least`` occurrences in ``docs``; in
+    the first pass also, with a null phrase, the number of words."""
     shared = docs.sparkSession.sparkContext.broadcast((known, done))
 
-    def rows(lang: str, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
-        ids, words = words_of(texts)
-        known, done = shared.value
-        dictionary = pa.array(words, pa.binary()).cast(pa.string())
-        if done is None:
-            yield batch_of(lang, pa.array([None], pa.string()), [int((ids >= 0).sum())])
-        for length, grams, wanted in counted_phrases(ids, word_hashes(words, seed_of(lang)), known, done):
-            place = grams.place[wanted]
-            parts = [dictionary.take(pa.array(ids[place + j])) for j in range(length)]
-            yield batch_of(lang, pc.binary_join_element_wise(*parts, " "), grams.count[wanted])
-
-    def batch_of(lang, phrases, n):
-        langs = pa.array([lang]).take(pa.array(np.zeros(len(phrases), dtype=np.int32)))
-        return pa.RecordBatch.from_arrays([langs, phrases, pa.array(n, pa.int64())], names=["lang", "phrase", "n"])
-
     def run(batches):
         held: dict[str, list[bytes]] = {}
         size = 0
@@ -214,12 +270,13 @@ def counts(docs: DataFrame, known: list[Filter], done: list[Filter] | None) -> D
                     size += len(text)
                 if size >= SLICE:
                     for lang, some in held.items():
-                        yield from rows(lang, some)
+                        yield count_texts(lang, some, *shared.value, buckets)
                     held, size = {}, 0
         for lang, some in held.items():
-            yield from rows(lang, some)
+            yield count_texts(lang, some, *shared.value, buckets)
 
-    return docs.select("lang", "text").mapInArrow(run, COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    rows = docs.select("lang", "text").mapInArrow(run, "lang string, bucket long, data binary")
+    return rows.groupBy("lang", "bucket").applyInArrow(add_counts(least), COUNTS)
 
 
 def length_of(phrase: Column) -> Column:
@@ -236,13 +293,12 @@ def not_known(known: list[Filter]) -> Column:
     return told("lang", "phrase")
 
 
-def closed(docs: DataFrame, least: int, known: list[Filter]) -> tuple[DataFrame, list[Filter]]:
+def closed(docs: DataFrame, least: int, known: list[Filter], buckets: int) -> tuple[DataFrame, list[Filter]]:
     """All phrases with ``least`` occurrences or more, counted exactly, whatever
     was known at the start; and the filters of all that can be extended."""
     found, done = None, None
     while True:
-        frequent = counts(docs, known, done).where(F.col("phrase").isNull() | (F.col("n") >= least))
-        frequent = stored(frequent, "phrases")
+        frequent = stored(counts(docs, known, done, least, buckets), "phrases")
         found = frequent if found is None else found.unionByName(frequent)
         failed = frequent.where(F.col("phrase").isNotNull() & (length_of(F.col("phrase")) < LONGEST))
         failed = stored(failed.where(not_known(known)) if known else failed, "failed")
@@ -303,9 +359,11 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     texts = docs.select(
         F.col("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), text_or_empty().alias("text")
     )
+    total = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    buckets = total // BUCKET_TEXT + 1
     sample = texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(SAMPLE_ONE_IN)) == 0)
-    _, proposed = closed(sample, min(least, SAMPLE_LEAST), [])
-    found, _ = closed(texts, least, proposed)
+    _, proposed = closed(sample, min(least, SAMPLE_LEAST), [], buckets)
+    found, _ = closed(texts, least, proposed, buckets)
     totals = found.where(F.col("phrase").isNull()).select("lang", "n")
     return ranked(scored(found.where(F.col("phrase").isNotNull()), totals), top)
 

@@ -36,25 +36,24 @@ as much again in positions.
 from __future__ import annotations
 
 import hashlib
-import io
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercadal.llm.tables import stored, text_or_empty, utf8_values
+from mercadal.llm.tables import packed, runs_of, stored, text_or_empty, unpacked, utf8_values
 from mercadal.session import local_table, scratch_path
 
 LENGTH = 50
 GRAM = 24
 STRETCH = 32  # suffixes of a stretch, as bits of a mask
 SLICE = 4 << 20
-BLOCK = 4 << 20
+BLOCK = 1 << 20
+PART = 1 << 20  # bytes of stretches that are sorted at once
 BUCKET_TEXT = 16 << 20  # bytes of text behind one group of grams
 SLICES_A_TASK = 4
 HOT = 4096
@@ -196,28 +195,6 @@ def sorted_suffixes(data: np.ndarray, starts: np.ndarray, groups: np.ndarray, de
 
 
 # ----------------------------------------------------------------------- slices
-def packed(*arrays: np.ndarray) -> bytes:
-    to = io.BytesIO()
-    for a in arrays:
-        np.save(to, a, allow_pickle=False)
-    return zstandard.ZstdCompressor(level=1).compress(to.getvalue())
-
-
-def unpacked(raw: bytes) -> list[np.ndarray]:
-    source = io.BytesIO(zstandard.ZstdDecompressor().decompress(raw))
-    size, out = len(source.getbuffer()), []
-    while source.tell() < size:
-        out.append(np.load(source, allow_pickle=False))
-    return out
-
-
-def runs_of(values: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Bounds of the runs of equal neighbours."""
-    if len(values):
-        cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
-        yield from zip([0, *cuts.tolist()], [*cuts.tolist(), len(values)], strict=True)
-
-
 def rows_of(columns: dict[str, list], schema: dict[str, pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[k], t) for k, t in schema.items()], names=list(schema))
 
@@ -370,7 +347,7 @@ def report_grams(buckets: int):
                 for a, b in runs_of(home[order]):
                     out["bucket"].append(int(home[order[a]]))
                     out["slice"].append(number)
-                    out["data"].append(packed(grams[order[a:b]], rows[order[a:b]]))
+                    out["data"].append(grams[order[a:b]].tobytes() + rows[order[a:b]].tobytes())
                 yield rows_of(out, REPORTS)
 
     return run
@@ -378,7 +355,11 @@ def report_grams(buckets: int):
 
 def shared_grams(group: pa.Table) -> pa.Table:
     """For each slice those of its grams that stand in more than one document."""
-    slices_, reports = group["slice"].to_pylist(), [unpacked(raw) for raw in group["data"].to_pylist()]
+    slices_ = group["slice"].to_pylist()
+    reports = []
+    for raw in group["data"].to_pylist():  # nine bytes a gram: its hash, then its rows
+        n = len(raw) // 9
+        reports.append((np.frombuffer(raw, dtype=np.uint64, count=n), np.frombuffer(raw, dtype=np.uint8, offset=8 * n)))
     grams = np.concatenate([r[0] for r in reports])
     rows = np.concatenate([r[1] for r in reports]).astype(np.int64)
     order = np.argsort(grams, kind="stable")
@@ -503,7 +484,18 @@ def earlier_suffixes(gram, least, size, mask, data) -> np.ndarray:
 def answer_stretches(group: pa.Table) -> pa.Table:
     reports = [unpacked(raw) for raw in group["data"].to_pylist()]
     gram, least, size, mask, data = (np.concatenate(x) for x in zip(*reports, strict=True))
-    earlier = earlier_suffixes(gram, least, size.astype(np.int64), mask, data)
+    size = size.astype(np.int64)
+    start = np.append(0, np.cumsum(size)[:-1])
+    earlier = np.zeros(len(gram), dtype=np.uint32)
+    # grams do not meet each other: some of them at a time
+    share = (mix(gram ^ np.uint64(_BASE)) % np.uint64(len(data) // PART + 1)).astype(np.int64)
+    order = np.argsort(share, kind="stable")
+    for a, b in runs_of(share[order]):
+        some = order[a:b]
+        sizes = size[some]
+        place = np.append(0, np.cumsum(sizes)[:-1])
+        text = data[np.repeat(start[some] - place, sizes) + np.arange(sizes.sum())]
+        earlier[some] = earlier_suffixes(gram[some], least[some], sizes, mask[some], text)
     out = {"slice": [], "bucket": [], "data": []}
     ends = np.cumsum([len(r[0]) for r in reports])
     for s, bucket, a, b in zip(group["slice"].to_pylist(), group["bucket"].to_pylist(), [0, *ends[:-1]], ends, strict=True):

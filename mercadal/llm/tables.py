@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import io
 import os
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,3 +73,26 @@ def slices(values: list[bytes], limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         size += len(v)
     if start < len(values):
         yield start, len(values)
+
+
+def packed(*arrays: np.ndarray) -> bytes:
+    """Some arrays as one compressed value of a row."""
+    to = io.BytesIO()
+    for a in arrays:
+        np.save(to, a, allow_pickle=False)
+    return zstandard.ZstdCompressor(level=1).compress(to.getvalue())
+
+
+def unpacked(raw: bytes) -> list[np.ndarray]:
+    source = io.BytesIO(zstandard.ZstdDecompressor().decompress(raw))
+    size, out = len(source.getbuffer()), []
+    while source.tell() < size:
+        out.append(np.load(source, allow_pickle=False))
+    return out
+
+
+def runs_of(values: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Bounds of the runs of equal neighbours."""
+    if len(values):
+        cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
+        yield from zip([0, *cuts.tolist()], [*cuts.tolist(), len(values)], strict=True)
