@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Digits after the point that exact sums keep of every addend.
-SCALE = 6
+from mercadal.functions.exact import finite
+
+# digits of the money columns: amounts, prices, rates of discount
+MONEY_DIGITS = 6
 
 # a plain decimal number: no type suffixes, no hexadecimal forms
 NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
@@ -18,29 +20,29 @@ def half_up(col: Column, digits: int) -> Column:
     return F.round(col.cast("double"), digits)
 
 
-def exact_total(col: Column) -> Column:
-    """Sum as a decimal with ``SCALE`` digits.
+def decimal_total(col: Column, digits: int) -> Column:
+    """Exact sum of a column of decimals of at most ``digits`` digits (money:
+    2), as a decimal.
 
-    Whole parts and scaled fractions are added up as two 64-bit integers. That
-    is exact, so the result does not depend on the order in which partitions
-    arrive and a re-run task gives equal bits, and it costs a fraction of
-    casting every addend to a decimal.
+    Whole parts and scaled fractions are added up as two 64-bit integers, so the
+    order in which partitions arrive does not matter. NaN counts as null; a
+    number that 64 bits do not hold fails. For columns that are no such decimals
+    (durations, measurements) there is ``exact.exact_sums``.
     """
-    x = col.cast("double")
+    x = finite(col)
     whole = F.floor(x)
-    part = F.rint((x - whole.cast("double")) * F.lit(10.0**SCALE)).cast("bigint")
-    unit = F.lit(1).cast(f"decimal({SCALE + 1},{SCALE})") / F.lit(10**SCALE)
-    unit = unit.cast(f"decimal({SCALE},{SCALE})")
+    part = F.rint((x - whole.cast("double")) * F.lit(10.0**digits)).cast("bigint")
+    unit = F.lit(f"1e-{digits}").cast(f"decimal({digits},{digits})")
     total = F.sum(whole).cast("decimal(19,0)") + F.sum(part).cast("decimal(19,0)") * unit
-    return total.cast(f"decimal(28,{SCALE})")
+    return total.cast(f"decimal({22 + digits},{digits})")
 
 
-def exact_sum(col: Column) -> Column:
-    return exact_total(col).cast("double")
+def money_sum(col: Column) -> Column:
+    return decimal_total(col, MONEY_DIGITS).cast("double")
 
 
-def exact_mean(col: Column) -> Column:
-    return exact_sum(col) / F.nullif(F.count(col), F.lit(0))
+def money_mean(col: Column) -> Column:
+    return money_sum(col) / F.nullif(F.count(finite(col)), F.lit(0))
 
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercadal.functions.scalars import exact_mean, half_up, percent
+from mercadal.functions.exact import exact_means
+from mercadal.functions.scalars import half_up, percent
 from mercadal.session import materialize
 
 
@@ -115,14 +116,20 @@ def behaviour_by(
     distinct = F.count_distinct(session) + F.coalesce(
         F.max(F.col(session).isNull()), F.lit(False)
     ).cast("bigint")
+    named = [F.col(k).alias(f"_of_{k}") for k in keys]
+    sessions = events.groupBy(*named).agg(distinct.alias("unique_sessions"))
+    counts = {
+        "num_sessions": ("sum", F.count(session)),
+        "max_duration": ("max", F.max(duration)),
+        "num_purchases": ("sum", F.count_if(F.col(kind) == bought)),
+    }
+    lasting = exact_means(events, keys, F.col(duration), "_mean", counts)
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
     return (
-        events.groupBy(*keys)
-        .agg(
-            F.count(session).alias("num_sessions"),
-            distinct.alias("unique_sessions"),
-            half_up(exact_mean(F.col(duration)), 2).alias("mean_duration"),
-            F.max(duration).alias("max_duration"),
-            F.count_if(F.col(kind) == bought).alias("num_purchases"),
-        )
+        lasting.join(sessions, same)
+        .withColumn("mean_duration", half_up(F.col("_mean"), 2))
+        .select(*keys, "num_sessions", "unique_sessions", "mean_duration", "max_duration", "num_purchases")
         .orderBy(F.desc("num_sessions"), *keys)
     )

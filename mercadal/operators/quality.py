@@ -8,7 +8,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercadal.functions.scalars import exact_mean, percent
+from mercadal.functions.exact import exact_means
+from mercadal.functions.scalars import percent
 from mercadal.operators.rules import DROP, Context, Rule
 from mercadal.session import materialize
 
@@ -66,17 +67,14 @@ def apply_rules(
 def summarize(flagged: DataFrame, rules: Sequence[Rule], column: str | None = None) -> DataFrame:
     """One row: rows in and out, violations per rule, notes, measures of ``column``."""
     kept = ~F.col("_rejected")
-    measures = [F.count(F.lit(1)).alias("rows_in"), F.count_if(kept).alias("rows_out")]
-    measures += [F.count_if(F.col(r.flag)).alias(r.flag) for r in rules]
-    measures += [F.max(r.note).alias(r.note) for r in rules if r.note in flagged.columns]
-    if column:
-        value = F.when(kept, F.col(column))
-        measures += [
-            F.min(value).alias("min_value"),
-            F.max(value).alias("max_value"),
-            exact_mean(value).alias("mean_value"),
-        ]
-    return flagged.agg(*measures)
+    measures = {"rows_in": ("sum", F.count(F.lit(1))), "rows_out": ("sum", F.count_if(kept))}
+    measures |= {r.flag: ("sum", F.count_if(F.col(r.flag))) for r in rules}
+    measures |= {r.note: ("max", F.max(r.note)) for r in rules if r.note in flagged.columns}
+    if not column:
+        return flagged.agg(*[made.alias(name) for name, (_, made) in measures.items()])
+    value = F.when(kept, F.col(column))
+    measures |= {"min_value": ("min", F.min(value)), "max_value": ("max", F.max(value))}
+    return exact_means(flagged, [], value, "mean_value", measures)
 
 
 def violation_report(summary: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -14,9 +14,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mercadal.functions.exact import of_order_key, with_order_key
 from mercadal.operators.joins import cross_one_row
 from mercadal.session import materialize
 
+NARROW_BITS = 21  # of an ordered key found by one scan, and one more by the first
 PARTITION_BITS = 33  # monotonically_increasing_id keeps the row index below this bit
 
 
@@ -97,62 +99,69 @@ def quintiles_by_measure(
 def exact_quantiles(
     df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Exact, linearly interpolated quantiles of the non-null values.
+    """Exact, linearly interpolated quantiles of the non-null values (NaN is the
+    largest of them).
 
     One output column per entry of ``probs``; one row per group of ``by``, or
-    one row in all. Equal values are counted together before the shuffle and
-    the distinct values are laid out by range. A small table of weights per
-    (group, range) tells which ranges hold a wanted position; only those are
-    read again, and only their rows are counted through.
+    one row in all. ``by`` names the members of a closed domain (statuses,
+    categories): a few rows per member are broadcast.
+
+    The values themselves are never shuffled or written. They are read as 64-bit
+    keys that sort alike, and ``NARROW_BITS`` at a time the key of every wanted
+    position is found: a histogram over the next bits of the values that share
+    the bits found so far (counted map-side, at most 2^22 rows per
+    position) tells in which bucket the position lies and what is left of it.
     """
     by = list(by)
-    counts = (
-        df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_w"))
-    )
-    laid = _laid_out(counts, [*by, value])
-
-    # ranges of one group: never more than there are shuffle partitions
-    earlier = (
-        Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    ranges = (
-        laid.groupBy(*by, "_part")
-        .agg(F.sum("_w").alias("_in"))
-        .withColumn("_before", F.coalesce(F.sum("_in").over(earlier), F.lit(0)))
-        .withColumn("_n", F.sum("_in").over(Window.partitionBy(*by)))
-    )
-    spots = {name: F.lit(float(p)) * (F.col("_n") - F.lit(1)) for name, p in probs.items()}
-
-    def held(first: Column, last: Column) -> Column:
-        """Does [first, last) hold a position next to a wanted one?"""
-        hit = F.lit(False)
-        for spot in spots.values():
-            for position in (F.floor(spot), F.ceil(spot)):
-                hit = hit | ((first <= position) & (position < last))
-        return hit
-
-    needed = ranges.where(held(F.col("_before"), F.col("_before") + F.col("_in"))).select(
-        F.col("_part").alias("_range"),
-        "_before",
-        "_n",
-        *[F.col(k).alias(f"_g_{k}") for k in by],
-    )
-    condition = F.col("_part") == F.col("_range")
-    for key in by:
-        condition = condition & F.col(key).eqNullSafe(F.col(f"_g_{key}"))
-    rows = laid.join(needed, condition)
-    inside = (
-        Window.partitionBy(*by, "_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    values = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_value"))
+    keyed = with_order_key(values, F.col("_value"), "_key").select(*by, "_key")
+
+    lead = F.shiftright("_key", 2 * NARROW_BITS)
+    counts = keyed.groupBy(*by, lead.alias("_b")).agg(F.count(F.lit(1)).alias("_c"))
+    counts = counts.withColumn("_n", F.sum("_c").over(Window.partitionBy(*by)))
+    spots = [F.lit(float(p)) * (F.col("_n") - F.lit(1)) for p in probs.values()]
+    # a column for the position below and the one above each quantile
+    targets = [f"_t{i}" for i in range(2 * len(spots))]
+    ends = [end(spot) for spot in spots for end in (F.floor, F.ceil)]
+    first = counts.withColumns(dict(zip(targets, ends, strict=True)))
+    wanted = _inside(first, by, targets).withColumnRenamed("_b", "_prefix")
+    for shift in (NARROW_BITS, 0):
+        wanted = _narrowed(keyed, by, wanted, targets, shift)
+
+    found = wanted.select(*by, "_n", of_order_key(F.col("_prefix")).alias("_v"), *targets)
+    at = [F.max(F.when(F.col(t).isNotNull(), F.col("_v"))) for t in targets]
+    shares = [F.max(spot - F.floor(spot)) for spot in spots]
+    results = [
+        F.when(low == high, low).otherwise(low + (high - low) * share).alias(name)
+        for name, low, high, share in zip(probs, at[::2], at[1::2], shares, strict=True)
+    ]
+    return found.groupBy(*by).agg(*results)
+
+
+def _inside(counts: DataFrame, within: list[str], targets: list[str]) -> DataFrame:
+    """Keeps of a histogram (_b, _c) the buckets that hold a target, with the
+    targets' positions inside the bucket; null for those that it does not hold."""
+    upto = Window.partitionBy(*within).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    placed = counts.withColumn("_before", F.sum("_c").over(upto) - F.col("_c"))
+    before, after = F.col("_before"), F.col("_before") + F.col("_c")
+    here = {t: F.when((F.col(t) >= before) & (F.col(t) < after), F.col(t) - before) for t in targets}
+    return placed.withColumns(here).where(F.coalesce(*targets).isNotNull()).drop("_before", "_c")
+
+
+def _narrowed(
+    keyed: DataFrame, by: list[str], wanted: DataFrame, targets: list[str], shift: int
+) -> DataFrame:
+    """The same with ``NARROW_BITS`` more bits of the key found, by one more scan."""
+    sought = wanted.select(*[F.col(k).alias(f"_of_{k}") for k in by], "_prefix", "_n", *targets)
+    # null-safe, though keys are never null: else the key is worked out again in a filter
+    same = F.shiftright("_key", shift + NARROW_BITS).eqNullSafe(F.col("_prefix"))
+    for k in by:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    bucket = F.shiftright("_key", shift).bitwiseAND(F.lit((1 << NARROW_BITS) - 1))
+    # at most two rows for each quantile of each member of the domain
+    rows = keyed.join(F.broadcast(sought), same)
+    counts = rows.groupBy(*by, "_prefix", bucket.alias("_b")).agg(
+        F.count(F.lit(1)).alias("_c"), *[F.max(c).alias(c) for c in ("_n", *targets)]
     )
-    upto = F.col("_before") + F.sum("_w").over(inside)
-    placed = rows.withColumn("_last", upto).withColumn("_first", F.col("_last") - F.col("_w"))
-
-    first, last = F.col("_first"), F.col("_last")
-    results = []
-    for name, spot in spots.items():
-        low, high = F.floor(spot), F.ceil(spot)
-        low_value = F.max(F.when((first <= low) & (low < last), F.col(value)))
-        high_value = F.max(F.when((first <= high) & (high < last), F.col(value)))
-        share = F.max(spot - low)
-        results.append((low_value + (high_value - low_value) * share).alias(name))
-    return placed.where(held(first, last)).groupBy(*by).agg(*results)
+    longer = F.shiftleft("_prefix", NARROW_BITS).bitwiseOR(F.col("_b"))
+    return _inside(counts, [*by, "_prefix"], targets).withColumn("_prefix", longer).drop("_b")

@@ -338,6 +338,9 @@ ORACLES: dict[str, str] = {
                   " / COUNT(value) FILTER (WHERE NOT bad)", 6)} AS mean_value,
                {r('100.0 * COUNT(*) FILTER (WHERE bad) / GREATEST(COUNT(*), 1)', 2)} AS reject_pct
         FROM flagged""",
+    "tiny_sums": """SELECT l_returnflag,
+            ROUND(CAST(SUM(CAST(l_discount AS DECIMAL(4,2))) AS DOUBLE) / 1e7, 15) AS total, 3 * COUNT(*) AS n
+        FROM lineitem GROUP BY l_returnflag""",
     "dq_report_lineitem": f"WITH {LINE_FLAGS} {_report(LINE_RULES)}",
     "dedup_lineitem_first": """SELECT * EXCLUDE (rn) FROM (
             SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercadal.functions.scalars import cents, exact_mean, exact_sum, period_label, thousands
+from mercadal.functions.scalars import cents, money_mean, money_sum, period_label, thousands
 from mercadal.operators.aggregates import (
     behaviour_by,
     pivot_sum,
@@ -24,10 +24,10 @@ LOWEST_SEGMENT = "En Riesgo"
 def top_categorias(ventas: DataFrame, k: int = 10) -> DataFrame:
     """Categories by revenue; the mean ticket is the plain mean of the cells."""
     totals = ventas.groupBy("category").agg(
-        exact_sum(F.col("total_ingresos")).alias("ingresos_totales"),
+        money_sum(F.col("total_ingresos")).alias("ingresos_totales"),
         F.sum("total_unidades").alias("unidades_totales"),
         F.sum("num_transacciones").alias("num_transacciones"),
-        exact_mean(F.col("ticket_promedio")).alias("ticket_promedio"),
+        money_mean(F.col("ticket_promedio")).alias("ticket_promedio"),
         F.count_distinct("country").alias("num_paises"),
     )
     return top_k(totals, [F.desc("ingresos_totales"), F.asc("category")], k)
@@ -36,7 +36,7 @@ def top_categorias(ventas: DataFrame, k: int = 10) -> DataFrame:
 def serie_temporal(ventas: DataFrame) -> DataFrame:
     """Monthly revenue and count with the running revenue."""
     months = ventas.groupBy("year", "month").agg(
-        exact_sum(F.col("total_ingresos")).alias("ingresos_mes"),
+        money_sum(F.col("total_ingresos")).alias("ingresos_mes"),
         F.sum("num_transacciones").alias("transacciones_mes"),
     )
     labelled = months.withColumn("periodo", period_label(F.col("year"), F.col("month")))
@@ -47,9 +47,9 @@ def serie_temporal(ventas: DataFrame) -> DataFrame:
 
 def desempeno_por_pais(ventas: DataFrame) -> DataFrame:
     countries = ventas.groupBy("country").agg(
-        exact_sum(F.col("total_ingresos")).alias("ingresos_totales"),
+        money_sum(F.col("total_ingresos")).alias("ingresos_totales"),
         F.sum("num_transacciones").alias("num_transacciones"),
-        cents(exact_mean(F.col("ticket_promedio"))).alias("ticket_promedio"),
+        cents(money_mean(F.col("ticket_promedio"))).alias("ticket_promedio"),
     )
     return share_of_total(countries, "ingresos_totales", "pct_ingresos").orderBy(
         F.desc_nulls_last("ingresos_totales"), "country"
@@ -132,8 +132,8 @@ def rfm_segments(scores: DataFrame) -> DataFrame:
         scores.groupBy("segmento")
         .agg(
             F.count("user_id").alias("num_usuarios"),
-            cents(exact_mean(F.col("gasto_total"))).alias("gasto_medio"),
-            cents(exact_mean(F.col("num_compras"))).alias("compras_medias"),
+            cents(money_mean(F.col("gasto_total"))).alias("gasto_medio"),
+            cents(money_mean(F.col("num_compras"))).alias("compras_medias"),
         )
         .orderBy(F.desc_nulls_last("gasto_medio"))
     )

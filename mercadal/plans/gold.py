@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercadal.functions.scalars import cents, exact_mean, exact_sum, utc_now_text
+from mercadal.functions.exact import exact_means
+from mercadal.functions.scalars import cents, money_mean, money_sum, utc_now_text
 from mercadal.operators.aggregates import conversion_funnel, without_null_keys
 from mercadal.schemas import FUNNEL_STEPS
 
@@ -20,10 +21,10 @@ def ventas_categoria_mes(transactions: DataFrame) -> DataFrame:
         without_null_keys(transactions, SALES_KEYS)
         .groupBy(*SALES_KEYS)
         .agg(
-            cents(exact_sum(F.col("amount"))).alias("total_ingresos"),
+            cents(money_sum(F.col("amount"))).alias("total_ingresos"),
             F.sum("quantity").alias("total_unidades"),
             F.count("transaction_id").alias("num_transacciones"),
-            cents(exact_mean(F.col("amount"))).alias("ticket_promedio"),
+            cents(money_mean(F.col("amount"))).alias("ticket_promedio"),
         )
     )
 
@@ -34,8 +35,8 @@ def compras_por_usuario(transactions: DataFrame) -> DataFrame:
         .groupBy("user_id")
         .agg(
             F.count("transaction_id").alias("num_compras"),
-            cents(exact_sum(F.col("amount"))).alias("gasto_total"),
-            cents(exact_mean(F.col("amount"))).alias("gasto_promedio"),
+            cents(money_sum(F.col("amount"))).alias("gasto_total"),
+            cents(money_mean(F.col("amount"))).alias("gasto_promedio"),
             F.count_distinct("category").alias("categorias_unicas"),
             F.min("date").alias("primera_compra"),
             F.max("date").alias("ultima_compra"),
@@ -44,14 +45,13 @@ def compras_por_usuario(transactions: DataFrame) -> DataFrame:
 
 
 def actividad_por_usuario(events: DataFrame) -> DataFrame:
-    return (
-        without_null_keys(events, ["user_id"])
-        .groupBy("user_id")
-        .agg(
-            F.count("event_id").alias("num_eventos"),
-            F.count_distinct("session_id").alias("sesiones_unicas"),
-            cents(exact_mean(F.col("duration_sec"))).alias("dur_media_seg"),
-        )
+    """Events, sessions and mean duration per user. Durations are measurements of
+    any size, so they are added up exactly; sessions are counted beside that."""
+    events = without_null_keys(events, ["user_id"])
+    sessions = events.groupBy("user_id").agg(F.count_distinct("session_id").alias("sesiones_unicas"))
+    lasting = exact_means(events, ["user_id"], F.col("duration_sec"), "_mean", {"num_eventos": ("sum", F.count("event_id"))})
+    return lasting.join(sessions, "user_id").select(
+        "user_id", "num_eventos", "sesiones_unicas", cents(F.col("_mean")).alias("dur_media_seg")
     )
 
 

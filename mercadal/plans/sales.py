@@ -13,16 +13,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercadal.functions.scalars import exact_mean, exact_total, half_up, month_key, weekday_name, weekday_number
+from mercadal.functions.scalars import MONEY_DIGITS, decimal_total, half_up, money_mean, month_key, weekday_name, weekday_number
 from mercadal.operators.aggregates import pivot_sum, share_of_total, top_k
 
 
 def _revenue(digits: int):
-    return F.round(exact_total(F.col("total")), digits).cast("double")
+    return F.round(decimal_total(F.col("total"), MONEY_DIGITS), digits).cast("double")
 
 
 def _ticket(digits: int):
-    return half_up(exact_mean(F.col("total")), digits)
+    return half_up(money_mean(F.col("total")), digits)
 
 
 def resumen_general(sales: DataFrame) -> DataFrame:
@@ -40,7 +40,7 @@ def _per_product(sales: DataFrame) -> DataFrame:
     return sales.groupBy("producto_id").agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum("cantidad").alias("_u"),
-        exact_total(F.col("total")).alias("_t"),
+        decimal_total(F.col("total"), MONEY_DIGITS).alias("_t"),
     )
 
 
@@ -143,7 +143,7 @@ def register_daily_view(sales: DataFrame, products: DataFrame, name: str = "repo
 def region_por_canal(sales: DataFrame, channels: Sequence[str]) -> DataFrame:
     """Region x channel revenue with a TOTAL column, empty cells 0."""
     cells = sales.groupBy("region", "canal").agg(
-        F.round(exact_total(F.col("total")), 0).alias("ingresos")
+        F.round(decimal_total(F.col("total"), MONEY_DIGITS), 0).alias("ingresos")
     )
     table = pivot_sum(cells, "region", "canal", channels, "ingresos", total="TOTAL")
     rest = [c for c in table.columns if c != "region"]

@@ -7,13 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mercadal.functions.exact import exact_sums
 from mercadal.functions.kernel import trig_kernel
 from mercadal.functions.scalars import (
-    exact_sum,
-    exact_total,
+    MONEY_DIGITS,
+    decimal_total,
     labelled_id,
     lenient_number,
     lenient_timestamp,
+    money_sum,
     stamp_text,
 )
 from mercadal.operators import aggregates, joins, quality, ranking, scaling, scoring
@@ -147,6 +149,17 @@ def dq_stats(spark, sf):
     return stats.withColumn("mean_value", F.round("mean_value", 6))
 
 
+def tiny_sums(spark, sf):
+    """Sums of values far below a cent, with as much of either sign taken off
+    again: what is left is the sum of the tiny values alone."""
+    lines = table(spark, sf, "lineitem").select(
+        "l_returnflag",
+        F.explode(F.array(F.col("l_discount") / 1e7, F.lit(1e18), F.lit(-1e18), F.lit(float("nan")))).alias("v"),
+    )
+    sums = exact_sums(lines, ["l_returnflag"], F.col("v"), "total", "n")
+    return sums.select("l_returnflag", F.round("total", 15).alias("total"), "n")
+
+
 def star_line_rules() -> list[R.Rule]:
     key = ["l_orderkey", "l_linenumber"]
     return [
@@ -343,7 +356,7 @@ def _feed_totals(feed):
     return feed.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col("event_id").cast("bigint")).alias("id_sum"),
-        exact_sum(lenient_number(F.col("value"))).alias("total"),
+        money_sum(lenient_number(F.col("value"))).alias("total"),
         F.max(lenient_timestamp(F.col("ts"))).alias("last_ts"),
         F.sum(F.get_json_object("props", "$.k").cast("bigint")).alias("k_sum"),
     )
@@ -374,7 +387,7 @@ def partitioned_roundtrip(spark, sf):
     return zone.groupBy("year").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_distinct("month").alias("months"),
-        exact_sum(F.col("o_totalprice")).alias("total"),
+        money_sum(F.col("o_totalprice")).alias("total"),
     )
 
 
@@ -482,10 +495,10 @@ def _stacked_criteria(totals, alternative):
 def _supplier_totals(spark, sf):
     """Per supplier: revenue, units, lines, and total discount, less being better."""
     return table(spark, sf, "lineitem").groupBy("l_suppkey").agg(
-        exact_total(F.col("l_extendedprice")).alias("_revenue"),
-        exact_total(F.col("l_quantity")).alias("_units"),
+        decimal_total(F.col("l_extendedprice"), MONEY_DIGITS).alias("_revenue"),
+        decimal_total(F.col("l_quantity"), MONEY_DIGITS).alias("_units"),
         F.count(F.lit(1)).cast("decimal(28,6)").alias("_lines"),
-        (-exact_total(F.col("l_discount"))).alias("_off"),
+        (-decimal_total(F.col("l_discount"), MONEY_DIGITS)).alias("_off"),
     )
 
 
@@ -634,7 +647,7 @@ QUERIES: dict[str, Query] = {
         sales_by_category_month, top_categories, country_category_pivot, monthly_running_total,
         monthly_chart, country_share, user_profile, conversion_funnel, behaviour_by_device,
         rfm_scores, rfm_segments, segment_counts, order_price_rank, supplier_balance_quintile,
-        dq_report_events, dq_clean_events, dq_stats, dq_report_lineitem, dedup_lineitem_first,
+        dq_report_events, dq_clean_events, dq_stats, tiny_sums, dq_report_lineitem, dedup_lineitem_first,
         constraint_report, fk_orphans, fk_valid, iqr_outliers, price_quartiles, lenient_cast,
         sales_summary, sales_by_part_type, top5_products, monthly_trend, weekday_sales,
         sales_by_region, sales_by_channel, region_channel_pivot, daily_report, sample_export,

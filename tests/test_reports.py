@@ -127,12 +127,12 @@ def test_scalar_functions(spark):
     )
 
 
-def test_exact_sum_handles_signs_and_nulls(spark):
-    values = [0.1] * 10 + [-0.3, None, -1234567.891, 1e11]
+def test_money_sums_handle_signs_and_nulls(spark):
+    values = [0.1] * 10 + [-0.3, None, float("nan"), -1234567.891, 1e11]
     rows = local_table(spark, [(v,) for v in values], "v double")
     row = rows.agg(
-        S.exact_sum(F.col("v")).alias("s"), S.exact_mean(F.col("v")).alias("m"),
-        S.exact_sum(F.when(F.col("v") > 1e12, F.col("v"))).alias("none"),
+        S.money_sum(F.col("v")).alias("s"), S.money_mean(F.col("v")).alias("m"),
+        S.money_sum(F.when(F.col("v") > 1e12, F.col("v"))).alias("none"),
     ).first()
     assert row.s == 99998765432.809 and row.none is None
     assert row.m == row.s / 13
