@@ -3,6 +3,74 @@
 from __future__ import annotations
 
 
+# table, column, type, required, key of every given table
+FIELDS = [
+    ("region", "r_regionkey", "int", True, True),
+    ("region", "r_name", "string", True, False),
+    ("nation", "n_nationkey", "int", True, True),
+    ("nation", "n_name", "string", True, False),
+    ("nation", "n_regionkey", "int", True, False),
+    ("customer", "c_custkey", "bigint", True, True),
+    ("customer", "c_name", "string", False, False),
+    ("customer", "c_nationkey", "int", True, False),
+    ("customer", "c_acctbal", "double", False, False),
+    ("customer", "c_mktsegment", "string", False, False),
+    ("supplier", "s_suppkey", "bigint", True, True),
+    ("supplier", "s_name", "string", False, False),
+    ("supplier", "s_nationkey", "int", True, False),
+    ("supplier", "s_acctbal", "double", False, False),
+    ("part", "p_partkey", "bigint", True, True),
+    ("part", "p_name", "string", False, False),
+    ("part", "p_brand", "string", False, False),
+    ("part", "p_type", "string", False, False),
+    ("part", "p_size", "int", False, False),
+    ("part", "p_retailprice", "double", True, False),
+    ("orders", "o_orderkey", "bigint", True, True),
+    ("orders", "o_custkey", "bigint", True, False),
+    ("orders", "o_orderstatus", "string", False, False),
+    ("orders", "o_totalprice", "double", True, False),
+    ("orders", "o_orderdate", "timestamp_ntz", True, False),
+    ("orders", "o_orderpriority", "string", False, False),
+    ("lineitem", "l_orderkey", "bigint", True, False),
+    ("lineitem", "l_partkey", "bigint", True, False),
+    ("lineitem", "l_suppkey", "bigint", False, False),
+    ("lineitem", "l_linenumber", "int", True, False),
+    ("lineitem", "l_quantity", "double", True, False),
+    ("lineitem", "l_extendedprice", "double", True, False),
+    ("lineitem", "l_discount", "double", False, False),
+    ("lineitem", "l_tax", "double", False, False),
+    ("lineitem", "l_returnflag", "string", False, False),
+    ("lineitem", "l_linestatus", "string", False, False),
+    ("lineitem", "l_shipdate", "timestamp_ntz", False, False),
+    ("events", "event_id", "bigint", True, True),
+    ("events", "ts", "timestamp_ntz", True, False),
+    ("events", "user_id", "bigint", True, False),
+    ("events", "event_type", "string", True, False),
+    ("events", "value", "double", False, False),
+    ("events", "props", "string", False, False),
+    ("documents", "doc_id", "bigint", True, True),
+    ("documents", "text", "string", False, False),
+    ("documents", "lang", "string", False, False),
+    ("documents", "source", "string", False, False),
+    ("documents", "n_chars", "bigint", False, False),
+    ("embeddings", "vec_id", "bigint", True, True),
+    ("embeddings", "embedding", "array<float>", False, False),
+    ("embeddings", "label", "int", False, False),
+    ("pages", "page_id", "bigint", True, True),
+    ("pages", "url", "string", False, False),
+    ("pages", "html", "string", False, False),
+    ("benchmark", "item_id", "bigint", True, True),
+    ("benchmark", "text", "string", False, False),
+    ("labels", "doc_id", "bigint", True, True),
+    ("labels", "quality", "int", False, False),
+    ("labels", "toxic", "int", False, False),
+    ("conversations", "conv_id", "bigint", True, False),
+    ("conversations", "turn", "bigint", True, False),
+    ("conversations", "role", "string", False, False),
+    ("conversations", "text", "string", False, False),
+]
+
+
 def r(expr: str, digits: int) -> str:
     """Half-up rounding of the number as it is written, not of the binary one."""
     return f"CAST(ROUND(CAST(CAST(CAST({expr} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
@@ -437,6 +505,16 @@ ORACLES: dict[str, str] = {
     "sample_export": f"""WITH {ORDER_SALES}
         SELECT id, fecha, region, canal, CAST(total AS DOUBLE) AS total
         FROM t ORDER BY fecha, id LIMIT 500""",
+    "joined_sample_export": f"""WITH t AS (
+            SELECT l_orderkey AS id, l_linenumber AS linea, l_partkey AS producto_id,
+                   CAST(l_quantity AS INTEGER) AS cantidad, CAST(l_shipdate AS DATE) AS fecha,
+                   CAST({LINE_TOTAL} AS DOUBLE) AS total FROM lineitem)
+        SELECT id, p_name AS nombre, p_type AS categoria, cantidad, fecha, r_name AS region,
+               o_orderpriority AS canal, total
+        FROM t JOIN part ON producto_id = p_partkey JOIN orders ON id = o_orderkey
+        JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+        JOIN region ON n_regionkey = r_regionkey
+        ORDER BY fecha, id, linea, producto_id, cantidad, total LIMIT 500""",
     "report_sections": f"""WITH {LINE_SALES}, o AS (
             SELECT r_name, o_orderpriority FROM orders JOIN customer ON o_custkey = c_custkey
             JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
@@ -450,10 +528,7 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 6, 'Tendencia Mensual', COUNT(DISTINCT strftime(fecha, '%Y-%m')) FROM t
         UNION ALL SELECT 7, 'Ventas por Día de Semana', COUNT(DISTINCT dayofweek(fecha)) FROM t""",
     "row_counts": " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}"
-        for t in (
-            "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-        )
+        f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in dict.fromkeys(f[0] for f in FIELDS)
     ),
     "csv_roundtrip": FEED_TOTALS,
     "jsonl_roundtrip": FEED_TOTALS,
@@ -480,21 +555,16 @@ ORACLES: dict[str, str] = {
         f"SELECT '{t}' AS dataset, '{c}' AS campo, '{kind}' AS tipo, {need} AS obligatorio,"
         f" {pk} AS clave_primaria, COUNT(*) FILTER (WHERE {c} IS NULL) AS nulos,"
         f" COUNT(*) AS filas FROM {t}"
-        for t, c, kind, need, pk in (
-            ("orders", "o_orderkey", "bigint", True, True),
-            ("orders", "o_custkey", "bigint", True, False),
-            ("orders", "o_orderstatus", "string", False, False),
-            ("orders", "o_totalprice", "double", True, False),
-            ("orders", "o_orderdate", "timestamp_ntz", True, False),
-            ("orders", "o_orderpriority", "string", False, False),
-            ("events", "event_id", "bigint", True, True),
-            ("events", "ts", "timestamp_ntz", True, False),
-            ("events", "user_id", "bigint", True, False),
-            ("events", "event_type", "string", True, False),
-            ("events", "value", "double", False, False),
-            ("events", "props", "string", False, False),
-        )
+        for t, c, kind, need, pk in FIELDS
     ),
+    "lineage_skipped": """WITH lines AS (
+            SELECT CASE WHEN event_id % 7 = 0 THEN '(omitidas)' ELSE event_type END AS transformacion,
+                   event_id % 7 = 0 AS lost, event_id, user_id FROM events WHERE event_id % 11 <> 0)
+        SELECT transformacion, COUNT(*) AS pasos,
+               CAST(SUM(event_id) FILTER (WHERE NOT lost) AS BIGINT) AS filas_entrada,
+               CAST(SUM(user_id) FILTER (WHERE NOT lost) AS BIGINT) AS filas_salida,
+               CAST(SUM(GREATEST(event_id - user_id, 0)) FILTER (WHERE NOT lost) AS BIGINT) AS filas_eliminadas
+        FROM lines GROUP BY transformacion""",
     "rule_catalog": f"""WITH {EVENT_FLAGS}, found AS ({_report(EVENT_RULES)}),
         names(id, nombre) AS (VALUES
             ('R01', 'Nulos obligatorios'), ('R02', 'Clave primaria duplicada'),

@@ -178,3 +178,21 @@ def full_report(
         ("Ventas por Día de Semana", ventas_por_dia_semana(sales)),
         ("Región × Canal", region_por_canal(sales, channels)),
     ]
+
+
+SAMPLE_FIELDS = ["id", "nombre", "categoria", "cantidad", "fecha", "region", "canal", "total"]
+
+
+def muestra(lines: DataFrame, products: DataFrame, places: DataFrame, rows: int = 500) -> DataFrame:
+    """The earliest sales with their product and place, eight columns.
+
+    The rows are chosen first, from narrow columns; products and places are then
+    read past that handful, which is all that is broadcast (``rows`` of them).
+    ``places`` has one row per sale id: id, region, canal.
+    """
+    order = ["fecha", "id", "linea", "producto_id", "cantidad", "total"]
+    chosen = lines.select(*order).orderBy(*order).limit(rows)
+    named = products.select(F.col("id").alias("producto_id"), "nombre", "categoria")
+    with_names = named.join(F.broadcast(chosen), "producto_id")
+    placed = places.select("id", "region", "canal").join(F.broadcast(with_names), "id")
+    return placed.orderBy(*order).select(*SAMPLE_FIELDS)

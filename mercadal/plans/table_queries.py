@@ -309,6 +309,24 @@ def sample_export(spark, sf):
     )
 
 
+def joined_sample_export(spark, sf):
+    """The 500 earliest sales with product and place, written as CSV and read back."""
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("id"),
+        F.col("l_linenumber").alias("linea"),
+        F.col("l_partkey").alias("producto_id"),
+        F.col("l_quantity").cast("int").alias("cantidad"),
+        F.col("l_shipdate").cast("date").alias("fecha"),
+        star.line_total().alias("total"),
+    )
+    sample = sales.muestra(lines, star.products(spark, sf), star.order_sales(spark, sf))
+    path = scratch_path(spark, "muestra")
+    writers.write_csv(sample.coalesce(1), path)
+    back = spark.read.schema(all_text(sales.SAMPLE_FIELDS)).option("header", True).csv(path)
+    kinds = {"id": "bigint", "cantidad": "int", "fecha": "date", "total": "double"}
+    return back.select(*[F.col(c).cast(kinds.get(c, "string")).alias(c) for c in sales.SAMPLE_FIELDS])
+
+
 def report_sections(spark, sf):
     """Sections of the text report with their number of lines."""
     fact, parts = star.line_sales(spark, sf), star.products(spark, sf)
@@ -331,10 +349,16 @@ def report_sections(spark, sf):
     ).agg(F.count(F.lit(1)).alias("lines"))
 
 
+ALL_TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
+
+
 def row_counts(spark, sf):
     counted = None
-    for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"):
-        one = table(spark, sf, name).agg(F.count(F.lit(1)).alias("row_count"))
+    for name in ALL_TABLES:
+        one = spark.read.parquet(f"{sf}/{name}.parquet").agg(F.count(F.lit(1)).alias("row_count"))
         one = one.select(F.lit(name).alias("table_name"), "row_count")
         counted = one if counted is None else counted.unionByName(one)
     return counted
@@ -445,14 +469,51 @@ def lineage_summary(spark, sf):
     return governance.lineage_summary(readers.read_lineage(spark, log_path))
 
 
+CATALOG_KEYS = {
+    "region": (["r_regionkey", "r_name"], "r_regionkey"),
+    "nation": (["n_nationkey", "n_name", "n_regionkey"], "n_nationkey"),
+    "customer": (["c_custkey", "c_nationkey"], "c_custkey"),
+    "supplier": (["s_suppkey", "s_nationkey"], "s_suppkey"),
+    "part": (["p_partkey", "p_retailprice"], "p_partkey"),
+    "orders": (["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"], "o_orderkey"),
+    "lineitem": (["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"], None),
+    "events": (["event_id", "user_id", "event_type", "ts"], "event_id"),
+    "documents": (["doc_id"], "doc_id"),
+    "embeddings": (["vec_id"], "vec_id"),
+    "pages": (["page_id"], "page_id"),
+    "benchmark": (["item_id"], "item_id"),
+    "labels": (["doc_id"], "doc_id"),
+    "conversations": (["conv_id", "turn"], None),
+}
+
+
+def lineage_skipped(spark, sf):
+    """A log with one record per event, every seventh line cut off and every
+    eleventh blank: steps and rows per transformation, and the lines skipped."""
+    record = F.to_json(
+        F.struct(
+            F.col("event_type").alias("transformacion"),
+            F.col("event_id").alias("filas_entrada"),
+            F.col("user_id").alias("filas_salida"),
+            F.greatest(F.col("event_id") - F.col("user_id"), F.lit(0)).alias("filas_eliminadas"),
+        )
+    )
+    number = F.col("event_id")
+    line = F.when(number % 11 == 0, F.lit("  ")).when(number % 7 == 0, F.substring(record, 1, 25)).otherwise(record)
+    path = scratch_path(spark, "linaje-roto")
+    table(spark, sf, "events").select(line.alias("value")).write.text(path)
+    lines = readers.lineage_lines(spark, path)
+    name = F.when(F.col("omitida"), F.lit("(omitidas)")).otherwise(F.col("transformacion"))
+    return governance.lineage_summary(lines.withColumn("transformacion", name))
+
+
 def field_catalog(spark, sf):
-    required = {
-        "orders": (["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"], "o_orderkey"),
-        "events": (["event_id", "user_id", "event_type", "ts"], "event_id"),
-    }
+    """Every column of every given table; columns that name a row or belong to
+    its key are required."""
     catalog = None
-    for name, (fields, key) in required.items():
-        part = governance.observed_fields(table(spark, sf, name), name, fields, key)
+    for name in ALL_TABLES:
+        fields, key = CATALOG_KEYS[name]
+        part = governance.observed_fields(spark.read.parquet(f"{sf}/{name}.parquet"), name, fields, key)
         catalog = part if catalog is None else catalog.unionByName(part)
     return catalog
 
@@ -650,9 +711,9 @@ QUERIES: dict[str, Query] = {
         dq_report_events, dq_clean_events, dq_stats, tiny_sums, dq_report_lineitem, dedup_lineitem_first,
         constraint_report, fk_orphans, fk_valid, iqr_outliers, price_quartiles, lenient_cast,
         sales_summary, sales_by_part_type, top5_products, monthly_trend, weekday_sales,
-        sales_by_region, sales_by_channel, region_channel_pivot, daily_report, sample_export,
+        sales_by_region, sales_by_channel, region_channel_pivot, daily_report, sample_export, joined_sample_export,
         report_sections, row_counts, csv_roundtrip, jsonl_roundtrip, partitioned_roundtrip,
-        raw_archive, idempotent_load, surrogate_keys, lineage_summary, field_catalog,
+        raw_archive, idempotent_load, surrogate_keys, lineage_summary, lineage_skipped, field_catalog,
         rule_catalog, mcda_scores, mcda_sensitivity, mcda_matrix, math_kernel, scaling_report,
         amdahl_fit, medallion_zone_rows,
     )

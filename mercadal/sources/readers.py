@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from mercadal.functions.scalars import utc_now_text
 from mercadal.schemas import LINEAGE
@@ -86,14 +86,29 @@ def read_zone(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_lineage(spark: SparkSession, path: str) -> DataFrame:
-    """Lineage log without its blank and corrupt lines; empty when absent."""
+def lineage_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Every line of the log that is not blank: its text (``linea``), file, the
+    fields of the record, and whether it was skipped because it is no record
+    (``omitida``; the fields are null then). An absent log has no lines."""
+    read = StructType([*LINEAGE.fields, StructField("_corrupt", StringType())])
     try:
-        return spark.read.schema(LINEAGE).option("mode", "DROPMALFORMED").json(path)
+        lines = spark.read.text(path).select(F.col("value").alias("linea"), F.col("_metadata.file_path").alias("archivo"))
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-        return local_table(spark, [], LINEAGE)
+        lines = local_table(spark, [], "linea string, archivo string")
+    lines = lines.where(F.trim("linea", F.lit(" \t\r")) != "")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    parsed = lines.withColumn("_r", F.from_json("linea", read, options))
+    skipped = F.col("_r").isNull() | F.col("_r._corrupt").isNotNull()
+    columns = [F.when(~F.col("omitida"), F.col(f"_r.{name}")).alias(name) for name in LINEAGE.fieldNames()]
+    return parsed.withColumn("omitida", skipped).select("linea", "archivo", *columns, "omitida")
+
+
+def read_lineage(spark: SparkSession, path: str) -> DataFrame:
+    """Records of the log; blank and corrupt lines are skipped (``lineage_lines``
+    has those)."""
+    return lineage_lines(spark, path).where(~F.col("omitida")).select(*LINEAGE.fieldNames())
 
 
 def read_jdbc(

@@ -270,3 +270,18 @@ def test_catalog_follows_the_rules(spark):
     assert fields["transacciones", "category"].reglas == ["R04a"]
     assert fields["transacciones", "transaction_id"].clave_primaria
     assert not fields["eventos", "page"].obligatorio
+
+
+def test_sample_chooses_its_rows_before_it_joins(spark):
+    lines = local_table(
+        spark, [(i, 1, i % 3, 2, f"2024-01-{1 + i % 5:02d}", float(i)) for i in range(40)],
+        "id long, linea int, producto_id long, cantidad int, fecha string, total double",
+    )
+    products = local_table(spark, [(i, f"p{i}", "c") for i in range(3)], "id long, nombre string, categoria string")
+    places = local_table(spark, [(i, "r", "web") for i in range(40)], "id long, region string, canal string")
+    got = sales.muestra(lines, products, places, 7)
+    assert got.columns == sales.SAMPLE_FIELDS
+    want = sorted(((f"2024-01-{1 + i % 5:02d}", i) for i in range(40)))[:7]
+    assert [(r.fecha, r.id, r.nombre, r.total) for r in got.collect()] == [(d, i, f"p{i % 3}", float(i)) for d, i in want]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("GlobalLimit 7") == 1 and plan.index("GlobalLimit 7") > plan.index("Join")

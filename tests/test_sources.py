@@ -105,6 +105,12 @@ def test_lineage_tolerates_corrupt_lines(spark, tmp_path):
     assert table["a"].filas_eliminadas == 0
     total = governance.lineage_summary(log).first()
     assert (total.pasos, total.filas_entrada, total.filas_salida) == (2, 6, 12)
+    (tmp_path / "linaje" / "part-odd.json").write_text('  \n5\n{"origen": "cut off\n\t\n{"filas_salida": "many"}\n')
+    lines = readers.lineage_lines(spark, path)
+    skipped = sorted(r.linea for r in lines.where("omitida").collect())
+    assert skipped == ["5", '{"filas_salida": "many"}', '{"origen": "cut off', "{bad"]
+    assert readers.read_lineage(spark, path).count() == 2
+    assert readers.lineage_lines(spark, str(tmp_path / "none")).count() == 0
 
 
 def test_partition_overwrite_keeps_other_months(spark, tmp_path):
