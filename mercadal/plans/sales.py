@@ -183,7 +183,7 @@ def full_report(
 SAMPLE_FIELDS = ["id", "nombre", "categoria", "cantidad", "fecha", "region", "canal", "total"]
 
 
-def muestra(lines: DataFrame, products: DataFrame, places: DataFrame, rows: int = 500) -> DataFrame:
+def muestra_con_lugar(lines: DataFrame, products: DataFrame, places: DataFrame, rows: int = 500) -> DataFrame:
     """The earliest sales with their product and place, eight columns.
 
     The rows are chosen first, from narrow columns; products and places are then

@@ -319,7 +319,7 @@ def joined_sample_export(spark, sf):
         F.col("l_shipdate").cast("date").alias("fecha"),
         star.line_total().alias("total"),
     )
-    sample = sales.muestra(lines, star.products(spark, sf), star.order_sales(spark, sf))
+    sample = sales.muestra_con_lugar(lines, star.products(spark, sf), star.order_sales(spark, sf))
     path = scratch_path(spark, "muestra")
     writers.write_csv(sample.coalesce(1), path)
     back = spark.read.schema(all_text(sales.SAMPLE_FIELDS)).option("header", True).csv(path)

@@ -7,10 +7,10 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from mercadal.oracles import ORACLES
-from mercadal.plans.table_queries import QUERIES
+from mercadal.plans.table_queries import ALL_TABLES, QUERIES
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES = ALL_TABLES
 
 
 @pytest.fixture(scope="module")

@@ -279,7 +279,7 @@ def test_sample_chooses_its_rows_before_it_joins(spark):
     )
     products = local_table(spark, [(i, f"p{i}", "c") for i in range(3)], "id long, nombre string, categoria string")
     places = local_table(spark, [(i, "r", "web") for i in range(40)], "id long, region string, canal string")
-    got = sales.muestra(lines, products, places, 7)
+    got = sales.muestra_con_lugar(lines, products, places, 7)
     assert got.columns == sales.SAMPLE_FIELDS
     want = sorted(((f"2024-01-{1 + i % 5:02d}", i) for i in range(40)))[:7]
     assert [(r.fecha, r.id, r.nombre, r.total) for r in got.collect()] == [(d, i, f"p{i % 3}", float(i)) for d, i in want]
