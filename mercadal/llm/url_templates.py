@@ -10,8 +10,10 @@ template's purity, its block rate smoothed by the template of the same address
 over all hosts and that one by the overall rate, rejects it above one half.
 
 Only DataFrame functions are used. Null addresses and addresses without ``://``
-have an empty host and path. Segments beyond ``DEPTH`` share one mark. Repeated
-rows are judged alike, extra columns are not read, an empty table gives no rows.
+have an empty host and path. The tree is as deep as its labelled paths differ:
+levels follow while some template still holds both verdicts, and below that
+every segment is a wildcard. Repeated rows are judged alike, extra columns are
+not read, an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,7 +33,6 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-DEPTH = 4
 Z_APART = 1.96
 PRIOR_WEIGHT = 4.0
 REJECT_ABOVE = 0.5
@@ -56,12 +57,17 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
 
 
 def form_segments(path: Column) -> Column:
-    """The path's segments with varying forms as wildcards, ``DEPTH`` at most."""
+    """The path's segments with varying forms as wildcards."""
     parts = F.filter(F.split(path, "/", -1), lambda s: s != "")
     varies = r"^[0-9][0-9._-]*(\.[A-Za-z]+)?$|^(?=.*[0-9])[0-9a-fA-F-]{8,}$|^.{41,}$"
-    formed = F.transform(parts, lambda s: F.when(s.rlike(varies), F.lit("*")).otherwise(s))
-    rest = F.when(F.size(formed) > DEPTH, F.array(F.lit("**"))).otherwise(F.array().cast("array<string>"))
-    return F.concat(F.slice(formed, 1, DEPTH), rest)
+    return F.transform(parts, lambda s: F.when(s.rlike(varies), F.lit("*")).otherwise(s))
+
+
+def any_mixed(rows: DataFrame) -> bool:
+    """Whether a template with a further segment holds both verdicts. If none
+    does, no branch at this level or below it can stand out."""
+    sums = rows.where("labelled > 0").groupBy("tree", "template").agg(F.sum("labelled").alias("n"), F.sum("blocked").alias("b"))
+    return not sums.where("b > 0 and b < n").isEmpty()
 
 
 def branch_names(rows: DataFrame) -> DataFrame:
@@ -83,7 +89,8 @@ def template_tree(paths: DataFrame) -> DataFrame:
     tree and the tree of all hosts, from distinct (host, segs) with counts."""
     trees = F.explode(F.array("host", F.lit(EVERY_HOST))).alias("tree")
     rows = paths.select(trees, "host", "segs", "labelled", "blocked", F.lit("").alias("template"))
-    for level in range(DEPTH):
+    level = 0
+    while any_mixed(rows.where(F.size("segs") > level)):
         rows = rows.withColumn("seg", F.get("segs", F.lit(level)))
         named = branch_names(rows.where("seg is not null"))
         rows = rows.join(named, ["tree", "template", "seg"], "left")
@@ -91,7 +98,9 @@ def template_tree(paths: DataFrame) -> DataFrame:
         longer = F.concat_ws("/", "template", step)
         rows = rows.withColumn("template", F.when(F.col("seg").isNull(), F.col("template")).otherwise(longer))
         rows = stored(rows.drop("seg", "named"), "url_level")
-    return rows
+        level += 1
+    below = F.repeat(F.lit("/*"), F.greatest(F.size("segs") - level, F.lit(0)))
+    return rows.withColumn("template", F.concat("template", below))
 
 
 def path_purity(paths: DataFrame) -> DataFrame:
