@@ -106,36 +106,51 @@ def render(formatted: DataFrame, chosen: DataFrame) -> DataFrame:
 
 
 SUMMARY = (
-    "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, "
+    "n_examples long, example_chars long"
 )
 
 
-def read_back(formatted: DataFrame) -> DataFrame:
-    """What the stored text says about each conversation: its turns and, under
-    the loss ranges, its replies, unescaped. Turns stream by in order, so even a
-    conversation of any length needs no more than its running digests."""
+def read_back(formatted: DataFrame, shown: DataFrame) -> DataFrame:
+    """What the stored text and the examples over it (``shown``) say about each
+    conversation: its turns and, under the loss ranges of its examples, its
+    replies, unescaped.
+
+    An example comes right behind the last segment that it covers, so both
+    stream by in order, and even a conversation of any length needs no more
+    than its running digests. ``example_chars`` is the length of all examples
+    written out. An example that does not end with its target turn, or whose
+    loss is not inside that turn, fails.
+    """
 
     def run(batches):
-        now, state, rows = None, None, []
+        now, state, last, rows = None, None, "", []
 
         def close():
-            n, turns, chars, loss, size = state
-            rows.append((now, n, turns.hexdigest(), chars, loss.hexdigest(), size))
+            n, turns, chars, loss, size, shown, covered = state
+            rows.append((now, n, turns.hexdigest(), chars, loss.hexdigest(), size, shown, covered))
 
         for batch in batches:
-            for conv, segment, first, loss_first, loss_chars in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for conv, segment, length, loss_first, loss_chars in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if state is None or conv != now:
                     if state is not None:
                         close()
-                    now, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                role, text = TURN.fullmatch(segment).groups()
-                state[0] += 1
-                state[1].update(f"{unescaped_role(role)}\n{unescaped(text)}\n".encode())
-                if loss_first is not None:
-                    reply = unescaped(segment[loss_first - first : loss_first - first + loss_chars])
-                    state[2] += len(reply)
-                    state[3].update(reply.encode())
-                state[4] += len(segment)
+                    now, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0, 0]
+                if segment is not None:
+                    role, text = TURN.fullmatch(segment).groups()
+                    state[0] += 1
+                    state[1].update(f"{unescaped_role(role)}\n{unescaped(text)}\n".encode())
+                    state[4] += len(segment)
+                    last = segment
+                    continue
+                start = loss_first - (length - len(last))
+                if length != state[4] or start < 0 or start + loss_chars > len(last):
+                    raise ValueError(f"example of conversation {conv} does not end with its reply")
+                reply = unescaped(last[start : start + loss_chars])
+                state[2] += len(reply)
+                state[3].update(reply.encode())
+                state[5] += 1
+                state[6] += length
             yield packed(rows)
             rows = []
         if state is not None:
@@ -143,10 +158,12 @@ def read_back(formatted: DataFrame) -> DataFrame:
             yield packed(rows)
 
     def packed(rows):
-        got = list(zip(*rows, strict=True)) or [[]] * 6
-        kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
-        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+        got = list(zip(*rows, strict=True)) or [[]] * 8
+        kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_examples", "example_chars"]
         return pa.RecordBatch.from_arrays([pa.array(v, type=t) for v, t in zip(got, kinds, strict=True)], names=names)
 
-    ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "place")
-    return ordered.select("conv_id", "segment", "first", "loss_first", "loss_chars").mapInArrow(run, SUMMARY)
+    segments = formatted.select("conv_id", "place", "segment")
+    both = segments.unionByName(shown.select("conv_id", "place", "length", "loss_first", "loss_chars"), allowMissingColumns=True)
+    ordered = both.repartition("conv_id").sortWithinPartitions("conv_id", "place", F.col("segment").isNull())
+    return ordered.select("conv_id", "segment", "length", "loss_first", "loss_chars").mapInArrow(run, SUMMARY)

@@ -193,7 +193,7 @@ def test_scan_of_unfinished_files(spark):
     assert sorted(map(tuple, got.collect())) == want
 
 
-def brute_urls(urls):
+def brute_urls(urls, rules=url_templates.RULES):
     """Verdicts of the template tree over Python dictionaries."""
     rows = []
     for url in urls:
@@ -201,16 +201,15 @@ def brute_urls(urls):
         if url and "://" in url:
             host, path = re.match(r"([^/?#]*)([^?#]*)", url.split("://", 1)[1]).groups()
             host = brute.lower_ascii(host)
-        fit = [(len(h + p), v, h + p) for v, h, p in url_templates.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        fit = [(len(h + p), v, h + p) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
         best = max(fit, default=(0, None, None))
         segs = ["*" if re.search(r"^[0-9][0-9._-]*(\.[A-Za-z]+)?$|^(?=.*[0-9])[0-9a-fA-F-]{8,}$|^.{41,}$", s) else s for s in path.split("/") if s]
-        segs = (*segs[:4], "**") if len(segs) > 4 else tuple(segs)
-        rows.append((host, path, best[2], best[1], segs))
+        rows.append((host, path, best[2], best[1], tuple(segs)))
     totals, template = {}, {}
     for own in (True, False):
         tree = lambda h, own=own: h if own else "*"
         at = {(h, s): () for h, _, _, _, s in rows}
-        for level in range(4):
+        for level in range(max((len(r[4]) for r in rows), default=0)):
             stats = defaultdict(lambda: defaultdict(lambda: [0, 0]))
             for h, _, _, v, s in rows:
                 if level < len(s):
@@ -257,6 +256,20 @@ def test_url_verdicts_match_brute_force(spark):
     assert url_templates.judge_urls(local_table(spark, [], PAGES)).count() == 0
 
 
+def test_url_branches_below_the_fourth_segment(spark):
+    rules = [(v, f"{h}.org", f"/p/q/r/s/{name}/") for h in "ab" for v, name in (("block", "bad"), ("allow", "good"))]
+    rules += [("block", "c.org", "/" + "d/" * 7 + "x/"), ("allow", "c.org", "/" + "d/" * 7 + "y/")]
+    urls = [f"http://{h}.org/p/q/r/s/{name}/w{i}" for h in "abz" for name in ("bad", "good") for i in range(12)]
+    urls += [f"http://{h}.org/{'d/' * 7}{name}/w{i}/v" for h in "cy" for name in "xy" for i in range(12)]
+    shape = "page_id long, url string, host string, path string, said string, segs string, labelled int, template int, seg int, tree int"
+    pages = local_table(spark, [(i, u, "h", "p", "s", "g", 1, 2, 3, 4) for i, u in enumerate(urls)], shape)
+    got = {r.page_id: r for r in url_templates.judge_urls(pages, rules).collect()}
+    assert [(got[i].host, got[i].path, got[i].rule, got[i].verdict) for i in range(len(urls))] == brute_urls(urls, rules)
+    for i, u in enumerate(urls):
+        assert got[i].verdict == ("block" if "/bad/" in u or "/x/" in u else "allow"), u
+        assert got[i].template.count("/") == urls[i].count("/") - 2
+
+
 TURNS = "conv_id long, turn long, role string, text string, place int"
 
 
@@ -271,7 +284,7 @@ def test_chat_round_trip(spark):
     for r in stored:
         inner = r.segment[len(chat.OPEN) : -len(chat.CLOSE)]
         assert not re.search(r"</?s>|<\|\w+\||\[/?INST\]|<</?SYS>>", inner)
-    got = {r.conv_id: r for r in chat.read_back(formatted).collect()}
+    got = {r.conv_id: r for r in chat.read_back(formatted, chat.examples(formatted)).collect()}
     for conv in {r[0] for r in rows}:
         own = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or ""))
         r = got[conv]
@@ -280,6 +293,8 @@ def test_chat_round_trip(spark):
         assert r.turns_sha256 == brute.sha("".join(f"{role or ''}\n{t or ''}\n" for _, _, role, t, _ in own))
         assert (r.loss_chars, r.loss_sha256) == (len(loss), brute.sha(loss))
         assert r.formatted_chars == sum(len(s.segment) for s in stored if s.conv_id == conv)
+        ends = [sum(len(s.segment) for s in stored if s.conv_id == conv and s.place <= k) for k, t in enumerate(own, 1) if t[2] == "assistant"]
+        assert (r.n_examples, r.example_chars) == (len(ends), sum(ends))
     shown = chat.examples(formatted)
     assert shown.count() == sum(r[2] == "assistant" for r in rows)
     texts = {(r.conv_id, r.place): r for r in chat.render(formatted, shown.where("conv_id is null or conv_id < 9")).collect()}
@@ -289,4 +304,5 @@ def test_chat_round_trip(spark):
         assert t.text == whole[: e.length]
         assert chat.unescaped(t.text[t.loss_first : t.loss_first + t.loss_chars]) == (odd[e.place - 1] or "")
     assert texts[None, 2].text.endswith("v<|im_end|>\n")
-    assert chat.read_back(chat.format_turns(local_table(spark, [], TURNS))).count() == 0
+    none = chat.format_turns(local_table(spark, [], TURNS))
+    assert chat.read_back(none, chat.examples(none)).count() == 0
