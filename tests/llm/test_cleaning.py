@@ -10,6 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 sys.path.insert(0, str(Path(__file__).parents[2]))
@@ -266,6 +267,43 @@ def test_pair_fit_orders_what_features_tell():
     assert ((model.scores(rows) >= 0.3) == (labels == 1)).mean() > 0.97
 
 
+def test_learning_sample_is_the_lowest_hashes(spark):
+    ids = spark.range(5000).select(F.col("id").alias("doc_id"))
+    ranked = [r.doc_id for r in ids.orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    for most in (0, 1, 7, 700, 4999, 5000, 9000):
+        assert [r.doc_id for r in bradley_terry.lowest_hashes(ids, most).collect()] == ranked[:most], most
+    assert bradley_terry.lowest_hashes(ids.limit(0), 5).count() == 0
+
+
+def test_pair_fit_matches_descent_over_all_pairs():
+    dice = np.random.default_rng(11)
+    rows = np.zeros((60, bradley_terry.FEATURES))
+    rows[:, :6] = dice.normal(size=(60, 6))
+    labels = (rows[:, 0] - rows[:, 1] + dice.normal(size=60) > 0).astype(int)
+    model = bradley_terry.fit_pairs(rows, labels, pairs=40_000)
+    z = np.zeros(rows.shape)
+    z[:, :6] = ((rows - rows.mean(axis=0))[:, :6] / rows.std(axis=0)[:6]).clip(-8, 8)
+    gaps = np.array([a - b for a in z[labels == 1] for b in z[labels == 0]])
+
+    def loss(w):
+        return np.log1p(np.exp(-(gaps @ w))).mean() + 0.5e-4 * w @ w
+
+    w = np.zeros(bradley_terry.FEATURES)
+    for _ in range(250):  # plain Newton steps
+        p = 1 / (1 + np.exp(gaps @ w))
+        slope = -gaps.T @ p / len(gaps) + 1e-4 * w
+        bend = (gaps * (p * (1 - p))[:, None]).T @ gaps / len(gaps) + 1e-4 * np.eye(len(w))
+        step = np.linalg.solve(bend, slope)
+        size = 1.0
+        while loss(w - size * step) > loss(w) and size > 1e-6:
+            size /= 2
+        w = w - size * step
+    got = model.weights
+    assert loss(w) <= loss(got) + 1e-6 and loss(got) < loss(w) + 0.02
+    order, want = np.argsort(model.raw(rows)), np.argsort(z @ w)
+    assert np.corrcoef(np.argsort(order), np.argsort(want))[0, 1] > 0.98
+
+
 def test_pipeline_decisions_take_effect(spark):
     columns = spark.read.parquet(f"{SMALL}/documents.parquet").columns
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
