@@ -178,6 +178,38 @@ EVENT_FLAGS = """judged AS (
                (f1 OR f2 OR f3 OR f4 OR f5 OR f6 OR f7) AS bad
         FROM judged CROSS JOIN lim)"""
 
+
+
+def hit(key: str, every: int, at: int) -> str:
+    """Whether a planted fault of these numbers takes the row with this key."""
+    return f"(COALESCE({key}, 0) % 2147483647 * 48271 % 2147483647 % {every} = {at})"
+
+
+FAULTY_EVENTS = f"""faulty AS (
+        SELECT event_id,
+               CASE WHEN {hit('event_id', 71, 13)} THEN TIMESTAMP '2030-01-01 00:00:00' ELSE ts END AS ts,
+               CASE WHEN {hit('event_id', 73, 17)} THEN -9 ELSE user_id END AS user_id,
+               CASE WHEN {hit('event_id', 67, 11)} THEN 'teleport'
+                    WHEN {hit('event_id', 53, 5)} THEN NULL ELSE event_type END AS event_type,
+               CASE WHEN {hit('event_id', 83, 23)} THEN 1e9
+                    WHEN {hit('event_id', 61, 7)} THEN -3.5 ELSE value END AS value,
+               CASE WHEN {hit('event_id', 79, 19)} THEN '{{}}' ELSE props END AS props,
+               CAST(c AS INTEGER) AS copy
+        FROM events CROSS JOIN range(3) AS t(c)
+        WHERE c = 0 OR {hit('event_id', 89, 29)})"""
+FAULTY_FLAGS = EVENT_FLAGS.replace("FROM events", "FROM faulty").replace("ORDER BY event_id", "ORDER BY copy")
+PRODUCT_CONSTRAINTS = [
+    ("NN", "nn", "'null in product'", "drop"),
+    ("PK", "pk", "'repeated product id'", "drop"),
+    ("CK", "ck", "'price not above zero'", "drop"),
+]
+SALE_CONSTRAINTS = [
+    ("NN", "nn", "'null in sale'", "drop"),
+    ("PK", "pk", "'repeated sale id'", "drop"),
+    ("FK", "fk", "'sale of an unknown product'", "drop"),
+    ("CK", "ck", "'quantity not above zero'", "drop"),
+]
+
 LINE_FLAGS = """quart AS (
         SELECT quantile_cont(l_extendedprice, 0.25) AS q1,
                quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem),
@@ -431,6 +463,42 @@ ORACLES: dict[str, str] = {
             ("CK", "ck", "'quantity not above two'", "drop"),
         ]
     ),
+    "stamp_layouts": """WITH named(feed, layout) AS (VALUES ('A', 'dd/MM/yyyy HH:mm:ss'),
+            ('N', 'yyyy-MM-ddTHH:mm:ss'), ('R', 'MM/dd/yyyy'), ('events', 'yyyy/MM/dd HH:mm:ss')),
+        t AS (SELECT l_returnflag AS feed, CASE WHEN l_linenumber < 5 THEN l_shipdate END AS st FROM lineitem
+            UNION ALL SELECT 'events', date_trunc('second', ts) FROM events)
+        SELECT feed, layout, COUNT(*) AS n_rows, COUNT(st) AS n_stamps, MIN(st) AS first_stamp, MAX(st) AS last_stamp
+        FROM t JOIN named USING (feed) GROUP BY feed, layout""",
+    "faulty_event_report": f"WITH {FAULTY_EVENTS}, {FAULTY_FLAGS} {_report(EVENT_RULES)}",
+    "faulty_event_rows": f"""WITH {FAULTY_EVENTS}, {FAULTY_FLAGS}
+        SELECT event_id, ts, user_id, event_type, value, props, copy FROM flagged WHERE NOT bad""",
+    "faulty_star_report": f"""SELECT 'productos' AS tabla, * FROM (WITH faulty AS (
+            SELECT p_partkey AS id, CASE WHEN NOT {hit('p_partkey', 17, 5)} THEN p_name END AS nombre,
+                   p_type AS categoria, CASE WHEN {hit('p_partkey', 23, 11)} THEN -3.5
+                        WHEN {hit('p_partkey', 19, 7)} THEN 0 ELSE p_retailprice END AS precio_unitario
+            FROM part CROSS JOIN range(4) AS t(c) WHERE c = 0 OR {hit('p_partkey', 29, 13)}),
+        flagged AS (
+            SELECT (id IS NULL OR nombre IS NULL OR categoria IS NULL OR precio_unitario IS NULL) AS nn,
+                   (ROW_NUMBER() OVER (PARTITION BY id) > 1) AS pk, COALESCE(precio_unitario <= 0, FALSE) AS ck
+            FROM faulty) {_report(PRODUCT_CONSTRAINTS)})
+        UNION ALL SELECT 'ventas' AS tabla, * FROM (WITH sold AS (
+            SELECT l_orderkey * 10 + l_linenumber AS id, l_partkey, l_quantity, l_shipdate, l_discount, r_name,
+                   o_orderpriority, l_extendedprice
+            FROM lineitem LEFT JOIN (orders JOIN customer ON o_custkey = c_custkey
+                JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+                ON l_orderkey = o_orderkey),
+        faulty AS (
+            SELECT id, CASE WHEN {hit('id', 61, 7)} THEN -1 ELSE l_partkey END AS producto_id,
+                   CASE WHEN {hit('id', 71, 13)} THEN -4 WHEN {hit('id', 67, 11)} THEN 0 ELSE l_quantity END AS cantidad,
+                   ({hit('id', 53, 5)} OR {hit('id', 59, 3)} OR l_shipdate IS NULL OR r_name IS NULL
+                    OR o_orderpriority IS NULL OR l_extendedprice * l_discount IS NULL) AS lacks
+            FROM sold CROSS JOIN range(2) AS t(c) WHERE c = 0 OR {hit('id', 73, 17)}),
+        flagged AS (
+            SELECT (id IS NULL OR producto_id IS NULL OR cantidad IS NULL OR lacks) AS nn,
+                   (ROW_NUMBER() OVER (PARTITION BY id) > 1) AS pk,
+                   (producto_id IS NOT NULL AND producto_id NOT IN (SELECT p_partkey FROM part)) AS fk,
+                   COALESCE(cantidad <= 0, FALSE) AS ck
+            FROM faulty) {_report(SALE_CONSTRAINTS)})""",
     "fk_orphans": """SELECT * FROM events WHERE user_id IS NOT NULL AND user_id NOT IN (
             SELECT c_custkey FROM customer WHERE c_acctbal > 0)""",
     "fk_valid": """SELECT * FROM events WHERE user_id IN (

@@ -9,9 +9,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from mercadal.functions.layouts import feed_layout
 from mercadal.operators.rules import Rule
 from mercadal.plans import analytics, gold, governance, silver
 from mercadal.schemas import CATEGORIES, EVENT_FEED, FUNNEL_STEPS, TRANSACTION_FEED
+from mercadal.session import local_table
 from mercadal.sources import datagen, readers, writers
 
 
@@ -132,6 +134,16 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineRun:
     )
     steps.log()
 
+    # the layouts of the stamps, found in one scan per feed and stored with the run
+    txn_layout, evt_layout = together(
+        lambda: feed_layout(raw_txn, "date"), lambda: feed_layout(raw_evt, "timestamp")
+    )
+    known = [("transacciones", "date", txn_layout.name), ("eventos", "timestamp", evt_layout.name)]
+    writers.write_jsonl(
+        local_table(spark, known, "feed string, campo string, formato string"),
+        f"{cfg.root}/metadata/formatos",
+    )
+
     # silver: events need the users of the stored clean transactions
     layout = ["year", "month"]
 
@@ -144,10 +156,12 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineRun:
         )
 
     clean_txn, txn_quality = silver.validate_transactions(
-        raw_txn, cfg.as_of, cfg.transaction_rules
+        raw_txn, cfg.as_of, cfg.transaction_rules, layout=txn_layout
     )
     txn, txn_rows = refine("transacciones", clean_txn, txn_in, "R01-R08")
-    clean_evt, evt_quality = silver.validate_events(raw_evt, txn, cfg.as_of, cfg.event_rules)
+    clean_evt, evt_quality = silver.validate_events(
+        raw_evt, txn, cfg.as_of, cfg.event_rules, layout=evt_layout
+    )
     (evt, evt_rows), txn_quality = together(
         lambda: refine("eventos", clean_evt, evt_in, "R01-R07"), txn_quality.stored
     )

@@ -7,34 +7,40 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercadal.functions.scalars import lenient_number, lenient_timestamp
+from mercadal.functions.layouts import DEFAULT, Layout
+from mercadal.functions.scalars import lenient_number
 from mercadal.operators.quality import QualityResult, apply_rules
 from mercadal.operators.rules import Rule
 from mercadal.schemas import ORDINAL, event_rules, transaction_rules
 
 
-def typed_transactions(bronze: DataFrame) -> DataFrame:
-    """Lenient casts of the text columns; whatever does not parse is null."""
+def typed_transactions(bronze: DataFrame, layout: Layout = DEFAULT) -> DataFrame:
+    """Lenient casts of the text columns; whatever does not parse is null.
+    ``layout`` is that of the feed's stamps."""
     return bronze.withColumns(
         {
             "amount": lenient_number(F.col("amount")),
             "quantity": lenient_number(F.col("quantity")),
-            "date": lenient_timestamp(F.col("date")),
+            "date": layout.stamp(F.col("date")),
         }
     )
 
 
-def typed_events(bronze: DataFrame) -> DataFrame:
+def typed_events(bronze: DataFrame, layout: Layout = DEFAULT) -> DataFrame:
     return bronze.withColumns(
         {
             "duration_sec": lenient_number(F.col("duration_sec")),
-            "timestamp": lenient_timestamp(F.col("timestamp")),
+            "timestamp": layout.stamp(F.col("timestamp")),
         }
     )
 
 
 def validate_transactions(
-    bronze: DataFrame, as_of, rules: Sequence[Rule] | None = None, strict: bool = False
+    bronze: DataFrame,
+    as_of,
+    rules: Sequence[Rule] | None = None,
+    strict: bool = False,
+    layout: Layout = DEFAULT,
 ) -> tuple[DataFrame, QualityResult]:
     """Clean transactions with year and month, and the full result.
 
@@ -42,7 +48,7 @@ def validate_transactions(
     strict mode.
     """
     result = apply_rules(
-        typed_transactions(bronze), rules or transaction_rules(), as_of, stats_column="amount"
+        typed_transactions(bronze, layout), rules or transaction_rules(), as_of, stats_column="amount"
     )
     quantity = F.col("quantity").cast("int")
     if strict:
@@ -57,11 +63,15 @@ def validate_transactions(
 
 
 def validate_events(
-    bronze: DataFrame, clean_transactions: DataFrame, as_of, rules: Sequence[Rule] | None = None
+    bronze: DataFrame,
+    clean_transactions: DataFrame,
+    as_of,
+    rules: Sequence[Rule] | None = None,
+    layout: Layout = DEFAULT,
 ) -> tuple[DataFrame, QualityResult]:
     """Clean events; their users must occur in the clean transactions."""
     result = apply_rules(
-        typed_events(bronze),
+        typed_events(bronze, layout),
         rules or event_rules(),
         as_of,
         refs={"users": clean_transactions},

@@ -21,6 +21,7 @@ from mercadal.functions.scalars import (
 from mercadal.operators import aggregates, joins, quality, ranking, scaling, scoring
 from mercadal.operators import rules as R
 from mercadal.plans import analytics, gold, governance, sales, star
+from mercadal.plans.feed_queries import faulty_event_report, faulty_event_rows, faulty_star_report, stamp_layouts
 from mercadal.plans.pipeline import PipelineConfig, run_pipeline
 from mercadal.plans.star import table
 from mercadal.schemas import RULE_NAMES, TRANSACTION_FEED, all_text, event_rules, transaction_rules
@@ -715,6 +716,7 @@ QUERIES: dict[str, Query] = {
         report_sections, row_counts, csv_roundtrip, jsonl_roundtrip, partitioned_roundtrip,
         raw_archive, idempotent_load, surrogate_keys, lineage_summary, lineage_skipped, field_catalog,
         rule_catalog, mcda_scores, mcda_sensitivity, mcda_matrix, math_kernel, scaling_report,
-        amdahl_fit, medallion_zone_rows,
+        amdahl_fit, medallion_zone_rows, stamp_layouts, faulty_event_report, faulty_event_rows,
+        faulty_star_report,
     )
 }
