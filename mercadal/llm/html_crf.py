@@ -12,6 +12,8 @@ with blocks of a bounded, documented sample of pages (``SAMPLE_PAGES``, those
 with the smallest id hashes), and those sample pages themselves as far as their
 markup names the article. Every page is decoded, from its whole html.
 
+A head ends at the first tag or text that cannot stand in it, a self-closing
+drawing or formula hides nothing behind it, and references are decoded run by run.
 Null and empty html give an empty text; broken and cut-off markup is read as far
 as it goes. Repeated rows are decoded alike, extra columns are not read, an
 empty table gives no rows.
@@ -35,22 +37,27 @@ SAMPLE_PAGES = 256
 SAMPLE_CHARS = 20_000  # longer pages are not learned from
 STEPS = 200
 
-HIDDEN = "script|style|noscript|template|iframe|object|svg|math|textarea|select|title|head"
+# what a page does not show as text; fallbacks (noscript, object) and formulas reach the chain
+HIDDEN = "script|style|template|iframe|textarea|select|title"
+_INSIDE = r"(?>\"[^\"]*+\"|'[^']*+'|[^>\"']|[\"'])*+"
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<hidden>{HIDDEN.removesuffix('|head')})\b[^>]*+>.*?(?:</(?P=hidden)\s*+>|\Z)"
+    rf"|<(?P<hidden>{HIDDEN})(?=[\s/>]){_INSIDE}>.*?(?:</(?P=hidden)(?=[\s/>])[^>]*+>|\Z)"
+    rf"|<(?P<drawn>svg)(?=[\s/>]){_INSIDE}(?:(?<=/)>|>.*?(?:</svg\s*+>|\Z))"
     r"|<[!?][^>]*+>?"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<rest>(?>\"[^\"]*+\"|'[^']*+'|[^>\"']|[\"'])*+)(?:>|\Z)",
+    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<rest>{_INSIDE})(?:>|\Z)",
     re.S | re.I,
 )
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
-    "strong sub sup time tt u var wbr img br input picture source".split()
+    "strong sub sup time tt u var wbr img br input picture source noscript object "
+    "math mi mn mo mrow ms mtext msub msup msubsup mfrac msqrt mroot mover munder".split()
 )
+IN_HEAD = frozenset("html head base basefont bgsound link meta noscript".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES = {  # an opening tag ends these open ones
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
-    "th": {"td", "th"}, "option": {"option"}, "body": {"head"},
+    "th": {"td", "th"}, "option": {"option"},
 }
 SCOPE = frozenset("ul ol dl table div section article td th body main aside nav form".split())
 NAMES = re.compile(r"""(?:class|id|role|aria-label|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -94,8 +101,8 @@ def blocks_of(page: str) -> list[Block]:
     def flush() -> None:
         nonlocal linked
         if parts:
-            text = " ".join(html.unescape("".join(parts)).split())
-            if text and not counts.get("head"):
+            text = " ".join("".join(parts).split())
+            if text:
                 tag = next((t for t, _ in reversed(stack) if t not in INLINE), "")
                 out.append(Block(text, stack[-1][1] | frozenset(text_features(text, min(linked, len(text)), tag))))
             parts.clear()
@@ -108,9 +115,17 @@ def blocks_of(page: str) -> list[Block]:
             links -= tag == "a"
         del stack[index:]
 
+    def leave_head() -> None:
+        if counts.get("head"):
+            pop_to(next(k for k, (t, _) in enumerate(stack) if t == "head"))
+
     def add(piece: str) -> None:
         nonlocal linked
         if piece:
+            # each run by itself: a reference does not go on behind a tag
+            piece = html.unescape(piece)
+            if counts.get("head") and piece.strip():
+                leave_head()
             parts.append(piece)
             linked += len(piece) if links else 0
 
@@ -119,7 +134,7 @@ def blocks_of(page: str) -> list[Block]:
         add(page[at : m.start()])
         at = m.end()
         if not m["tag"]:
-            if m["hidden"]:
+            if m["hidden"] or m["drawn"]:
                 parts.append(" ")
             continue
         tag = m["tag"].lower()
@@ -149,10 +164,10 @@ def blocks_of(page: str) -> list[Block]:
                 k -= 1
             if found:
                 pop_to(found)
-        if tag == "body" and counts.get("head"):
-            pop_to(next(k for k, (t, _) in enumerate(stack) if t == "head"))
+        if tag not in IN_HEAD:
+            leave_head()
         rest = m["rest"] or ""
-        if rest.endswith("/") and tag not in INLINE and tag in ("svg", "path"):
+        if rest.endswith("/") and tag == "math":
             continue
         stack.append((tag, within(stack[-1][1], tag, rest if "=" in rest else "")))
         counts[tag] = counts.get(tag, 0) + 1
@@ -185,7 +200,7 @@ LAYOUTS = (
     "<div id=main class=body><h1>H</h1><p>M</p><div class='promo box'><p>X</p></div><p>M</p><div class=notice>X</div><p>M</p><section class='user comments'><p>X</p><p>X</p></section></div>",
     "<main><section class=article-text><h1>H</h1><p>M</p><aside><p>X</p></aside><p>M</p><form><p>X</p></form><p>M</p></section><section class=comments-area><p>X</p></section></main>",
 )
-OUTSIDE = {"in:nav", "in:footer", "in:aside", "in:form", "in:header", "is:ad", "is:ads", "is:comments", "is:comment"}
+OUTSIDE = {"in:nav", "in:footer", "in:aside", "in:form", "is:ad", "is:ads", "is:comments", "is:comment"}
 SLOT = re.compile(r"(?<=>)[MHXx](?=<|\Z)")
 PLAIN = ("Plain words make a sentence, and more of them make another one. It ends here.", "A short line", "More")
 

@@ -48,6 +48,24 @@ def test_blocks_of_broken_markup():
     assert of("<table><tr><td>a<td>b<tr><td>c</table>") == ["a", "b", "c"]
 
 
+def test_no_markup_hides_the_rest_of_a_page():
+    def of(page):
+        return [b.text for b in html_crf.blocks_of(page)]
+
+    assert of("<p>one</p><svg class=i /><p>two</p>") == ["one", "two"]
+    assert of("<p>one</p><svg a='x>y'/><p>two</p><svg><text>no</text></svg><p>three") == ["one", "two", "three"]
+    assert of("<p>one</p><svg><path/></svg><p>two</p><SVG/>") == ["one", "two"]
+    assert of("<p>one</p><title-card>q</title-card><select-x>r</select-x><p>two</p>") == ["one", "q", "r", "two"]
+    assert of("<html><head><title>t</title><p>one</p><p>two</p>") == ["one", "two"]
+    assert of("<head><meta a><link b><noscript><link c></noscript><base d>\n text <p>one</head><p>two") == ["text", "one", "two"]
+    assert of("<head><header><p>one</p></header></head><p>two") == ["one", "two"]
+    assert of("<p>sum <math><mi>x</mi><mo>+</mo><mn>1</mn></math> end <math/>too") == ["sum x+1 end too"]
+    assert of("<p>a <noscript>plain <b>form</b></noscript> b <object data=x>fall back</object>") == ["a plain form b fall back"]
+    assert of("<p>&<b>amp;</b> &amp;<b>lt;</b> &lt;<!-- -->x") == ["&amp; &lt; <x"]
+    assert of("<script>a</scripted>b</script x>c<style>d</style >e") == ["c e"]
+    assert of("<svg" * 3000) == of("<svg>" * 3000) == []
+
+
 def test_viterbi_finds_the_best_chain():
     dice = random.Random(2)
     for _ in range(40):
