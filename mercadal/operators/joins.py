@@ -112,6 +112,53 @@ def lookup_join(
     return joined.select(*fact.columns, *[F.col(f"_p_{p}").alias(p) for p in payload])
 
 
+def counted_join(
+    fact: DataFrame,
+    counts: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    payload: Sequence[str],
+    spread_by: Sequence[str],
+) -> DataFrame:
+    """Left join as in ``lookup_join``, with the split known from exact counts.
+
+    ``counts`` has one row per key of ``fact`` with its number of rows ``_n``,
+    as the caller has it at hand. Keys of more than 1/PIECES of the rows, fewer
+    than PIECES by arithmetic, are broadcast with their number of pieces; no job
+    runs before the result is asked for.
+    """
+    keys, payload = list(keys), list(payload)
+    total = counts.agg(F.sum("_n").alias("_total"))
+    share = F.col("_n") * F.lit(PIECES) / F.col("_total")
+    hot = F.broadcast(
+        cross_one_row(counts, total)
+        .where(share > 1)
+        .select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.ceil(share).alias("_pieces"))
+    )
+
+    def matches(left: str, right: str) -> Column:
+        condition = F.lit(True)
+        for key in keys:
+            condition = condition & F.col(f"{left}{key}").eqNullSafe(F.col(f"{right}{key}"))
+        return condition
+
+    pieces = F.coalesce(F.col("_pieces"), F.lit(1).cast("bigint"))
+    rows = fact.join(hot, matches("", "_hot_"), "left").withColumn(
+        "_piece", F.pmod(F.xxhash64(*spread_by), pieces)
+    )
+    copies = (
+        lookup.join(hot, matches("", "_hot_"), "left")
+        .withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), pieces - F.lit(1))))
+        .select(
+            *[F.col(k).alias(f"_c_{k}") for k in keys],
+            *[F.col(p).alias(f"_p_{p}") for p in payload],
+            "_copy",
+        )
+    )
+    joined = rows.join(copies, matches("", "_c_") & (F.col("_piece") == F.col("_copy")), "left")
+    return joined.select(*fact.columns, *[F.col(f"_p_{p}").alias(p) for p in payload])
+
+
 def with_membership(
     fact: DataFrame,
     members: DataFrame,

@@ -10,11 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercadal.functions.scalars import stamp_literal
-from mercadal.operators.joins import cross_one_row, lookup_join, with_membership
+from mercadal.operators.joins import counted_join, cross_one_row
 from mercadal.operators.ranking import exact_quantiles
 
 DROP, REPORT = "drop", "report"
@@ -106,42 +106,79 @@ def matches(id_: str, column: str, pattern: str, description: str) -> Rule:
     )
 
 
+# bits of a row's number within its file or block; above them, the number of that split
+ROW_BITS = 33
+
+
+def split_numbers(df: DataFrame, split: Sequence[str]) -> DataFrame:
+    """Files or blocks in their order, as (hash of the split, number): 16 bytes
+    for each file that the driver lists anyway."""
+    found = df.select(*split).distinct()
+    numbered = found.select(
+        F.xxhash64(*split).alias("_split"),
+        (F.row_number().over(Window.orderBy(*split)) - 1).cast("bigint").alias("_number"),
+    )
+    return numbered.groupBy("_split").agg(F.min("_number").alias("_number"))
+
+
+def with_place(df: DataFrame, splits: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``_place``: the row's place among all rows as one long."""
+    *split, row = order
+    numbered = df.withColumn("_key", F.xxhash64(*split)).join(
+        F.broadcast(splits), F.col("_key") == F.col("_split"), "left"
+    )
+    within = F.col(row).cast("bigint").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    place = F.shiftleft("_number", ROW_BITS).bitwiseOR(within)
+    return numbered.select(*df.columns, place.alias("_place"))
+
+
 def first_occurrence(
     id_: str, keys: Sequence[str], order: Sequence[str], description: str
 ) -> Rule:
     """Flags every row of a key but the first under ``order``; nulls are equal.
 
-    ``order`` must be unique per row (file, block and row position). Only the
-    keys that do repeat, with the position of their first row, are joined back:
-    a key with very many copies shrinks to one row before it is shuffled.
+    ``order`` names a row's file, in some feeds its block, and last the row's
+    number there (its lowest 33 bits count). They become one long, so that rows
+    and first place per key are one hash aggregate: a key with very many copies
+    shrinks to one row before it is shuffled. Only the keys that do repeat are
+    joined back, split by the counts just taken.
     """
     keys, order = list(keys), list(order)
 
     def build(df: DataFrame, ctx: Context, out: str) -> DataFrame:
         raw = df if ctx.raw is None else ctx.raw
-        place = F.struct(*order)
-        repeated = (
-            raw.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_first"))
-            .where("_n > 1")
+        splits = split_numbers(raw, order[:-1])
+        counts = (
+            with_place(raw.select(*dict.fromkeys([*keys, *order])), splits, order)
+            .groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
         )
-        joined = lookup_join(df, repeated, keys, ["_first"], key_source=raw, spread_by=order)
-        later = F.coalesce(place > F.col("_first"), F.lit(False))
-        return joined.withColumn(out, later).drop("_first")
+        placed = with_place(df, splits, order)
+        joined = counted_join(placed, counts, counts.where("_n > 1"), keys, ["_first"], ["_place"])
+        later = F.coalesce(F.col("_place") > F.col("_first"), F.lit(False))
+        return joined.withColumn(out, later).drop("_first", "_place")
 
     return Rule(id_, description, build, DROP, tuple(keys), "key")
 
 
 def references(id_: str, column: str, ref: str, ref_column: str, description: str) -> Rule:
-    """Flags non-null keys absent from the frame registered as ``ref``."""
+    """Flags non-null keys absent from the frame registered as ``ref``.
+
+    The distinct keys of the column are looked up, and the few that are missing
+    are joined back to the rows, split by their counts.
+    """
 
     def build(df: DataFrame, ctx: Context, out: str) -> DataFrame:
         raw = df if ctx.raw is None else ctx.raw
-        known = with_membership(
-            df, ctx.refs[ref], column, ref_column, "_known", raw, ctx.place or raw.columns
+        counts = raw.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+        known = ctx.refs[ref].select(F.col(ref_column).alias("_known"))
+        missing = (
+            counts.where(F.col(column).isNotNull())
+            .join(known, F.col(column) == F.col("_known"), "left_anti")
+            .withColumn("_orphan", F.lit(True))
         )
-        orphan = ~F.col("_known") & F.col(column).isNotNull()
-        return known.withColumn(out, orphan).drop("_known")
+        joined = counted_join(df, counts, missing, [column], ["_orphan"], ctx.place or raw.columns)
+        return joined.withColumn(out, F.col("_orphan").isNotNull()).drop("_orphan")
 
     return Rule(id_, description, build, DROP, (column,), "reference")
 

@@ -281,6 +281,56 @@ CHANNELS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 REGION_NAMES = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
+PLACED_SALES = f"""t AS (
+        SELECT l_partkey AS producto_id, CAST(o_orderdate AS DATE) AS fecha, r_name AS region,
+               o_orderpriority AS canal, CAST(l_quantity AS INTEGER) AS cantidad, {LINE_TOTAL} AS total
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+        JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+REVENUE = f"{MONEY0} AS ingresos"
+TICKET = f"{TICKET0} AS ticket_promedio"
+# title, label of a row, fields, rows
+REPORT = [
+    ("Resumen General", "''",
+     ["total_transacciones", "unidades_totales", "ingresos_totales", "ticket_promedio", "primera_venta", "ultima_venta"],
+     f"""SELECT COUNT(*) AS total_transacciones, SUM(cantidad) AS unidades_totales, {MONEY0} AS ingresos_totales,
+         {TICKET}, MIN(fecha) AS primera_venta, MAX(fecha) AS ultima_venta FROM t"""),
+    ("Ingresos por Categoría", "categoria", ["num_ventas", "unidades", "ingresos", "pct_ingresos"],
+     f"""SELECT p_type AS categoria, COUNT(*) AS num_ventas, SUM(cantidad) AS unidades, {REVENUE},
+         {r('100.0 * SUM(total) / SUM(SUM(total)) OVER ()', 1)} AS pct_ingresos
+         FROM t JOIN part ON producto_id = p_partkey GROUP BY p_type"""),
+    ("Ventas por Región", "region", ["num_ventas", "ingresos", "ticket_promedio"],
+     f"SELECT region, COUNT(*) AS num_ventas, {REVENUE}, {TICKET} FROM t GROUP BY region"),
+    ("Distribución por Canal", "canal", ["num_ventas", "ingresos", "pct_ventas"],
+     f"""SELECT canal, COUNT(*) AS num_ventas, {REVENUE},
+         {r('100.0 * COUNT(*) / SUM(COUNT(*)) OVER ()', 1)} AS pct_ventas FROM t GROUP BY canal"""),
+    ("Top 5 Productos", "nombre || '/' || categoria", ["num_ventas", "unidades", "ingresos"],
+     f"""SELECT p_name AS nombre, p_type AS categoria, COUNT(*) AS num_ventas, SUM(cantidad) AS unidades, {REVENUE}
+         FROM t JOIN part ON producto_id = p_partkey GROUP BY ALL ORDER BY ingresos DESC, nombre, categoria LIMIT 5"""),
+    ("Tendencia Mensual", "mes", ["num_ventas", "ingresos"],
+     f"SELECT strftime(fecha, '%Y-%m') AS mes, COUNT(*) AS num_ventas, {REVENUE} FROM t GROUP BY 1"),
+    ("Ventas por Día de Semana", "dia_semana", ["dow", "num_ventas", "ticket_promedio"],
+     f"""SELECT rpad(dayname(fecha), 9, ' ') AS dia_semana, dayofweek(fecha) AS dow, COUNT(*) AS num_ventas, {TICKET}
+         FROM t GROUP BY 1, 2"""),
+    ("Región × Canal", "region", [*[f'"{c}"' for c in CHANNELS], '"TOTAL"'],
+     "SELECT region, " + ", ".join(
+         f"COALESCE(SUM(v) FILTER (WHERE canal = '{c}'), 0) AS \"{c}\"" for c in CHANNELS
+     ) + ', SUM(v) AS "TOTAL" FROM (SELECT region, canal, ROUND(SUM(total), 0) AS v FROM t GROUP BY 1, 2) GROUP BY region'),
+]
+
+
+def report_contents() -> str:
+    tables = ", ".join(f"s{i} AS ({rows})" for i, (_, _, _, rows) in enumerate(REPORT, start=1))
+    cells = " UNION ALL ".join(
+        f"SELECT CAST({i} AS INTEGER) AS section_no, '{title}' AS title, {label} AS fila,"
+        f" '{field.strip(chr(34))}' AS campo,"
+        f" CASE WHEN TRY_CAST(CAST({field} AS VARCHAR) AS DOUBLE) IS NULL THEN CAST({field} AS VARCHAR) END AS texto,"
+        f" TRY_CAST(CAST({field} AS VARCHAR) AS DOUBLE) AS valor FROM s{i}"
+        for i, (title, label, fields, _) in enumerate(REPORT, start=1)
+        for field in fields
+    )
+    return f"WITH {PLACED_SALES}, {tables} {cells}"
+
+
 CRITERIA = {
     "ingresos": "SUM(CAST(l_extendedprice AS DECIMAL(12,2)))",
     "unidades": "SUM(CAST(l_quantity AS DECIMAL(12,2)))",
@@ -595,6 +645,7 @@ ORACLES: dict[str, str] = {
             FROM t JOIN part ON producto_id = p_partkey
         UNION ALL SELECT 6, 'Tendencia Mensual', COUNT(DISTINCT strftime(fecha, '%Y-%m')) FROM t
         UNION ALL SELECT 7, 'Ventas por Día de Semana', COUNT(DISTINCT dayofweek(fecha)) FROM t""",
+    "report_contents": report_contents(),
     "row_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in dict.fromkeys(f[0] for f in FIELDS)
     ),

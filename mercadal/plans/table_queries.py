@@ -350,6 +350,16 @@ def report_sections(spark, sf):
     ).agg(F.count(F.lit(1)).alias("lines"))
 
 
+def report_contents(spark, sf):
+    """The whole text report, written and read back field by field."""
+    sections = sales.full_report(
+        star.placed_line_sales(spark, sf), star.products(spark, sf), star.PRIORITIES
+    )
+    path = scratch_path(spark, "reporte")
+    writers.write_text_report(sections, path)
+    return sales.report_entries(spark.read.text(path))
+
+
 ALL_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -713,7 +723,7 @@ QUERIES: dict[str, Query] = {
         constraint_report, fk_orphans, fk_valid, iqr_outliers, price_quartiles, lenient_cast,
         sales_summary, sales_by_part_type, top5_products, monthly_trend, weekday_sales,
         sales_by_region, sales_by_channel, region_channel_pivot, daily_report, sample_export, joined_sample_export,
-        report_sections, row_counts, csv_roundtrip, jsonl_roundtrip, partitioned_roundtrip,
+        report_sections, report_contents, row_counts, csv_roundtrip, jsonl_roundtrip, partitioned_roundtrip,
         raw_archive, idempotent_load, surrogate_keys, lineage_summary, lineage_skipped, field_catalog,
         rule_catalog, mcda_scores, mcda_sensitivity, mcda_matrix, math_kernel, scaling_report,
         amdahl_fit, medallion_zone_rows, stamp_layouts, faulty_event_report, faulty_event_rows,

@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from mercadal.operators import joins
+from mercadal.operators import rules as R
 from mercadal.operators.joins import anti_join, lookup_join, semi_join
-from mercadal.operators.quality import first_rows
+from mercadal.operators.quality import apply_rules, first_rows
 from mercadal.plans import silver
 from mercadal.schemas import EVENT_COLUMNS, ORDINAL, TRANSACTION_COLUMNS
 from mercadal.session import local_table
@@ -255,3 +256,49 @@ def test_constraints_of_the_sales_star(spark):
     found = counts(apply_rules(sales, sales_rules(), AS_OF, refs))
     expected = sales.where("producto_id = 3").count()
     assert expected > 0 and found == {"NN": 0, "PK": 0, "FK": expected, "CK": 0}
+
+
+def test_key_rules_with_hot_keys_need_no_job_and_no_sort_aggregate(spark):
+    """A third of the rows share one key, another third one unknown reference."""
+    rows = []
+    for i in range(9000):
+        key = 7 if i % 3 == 0 else 100 + i
+        user = -1 if i % 3 == 1 else i % 50
+        rows.append((key, None if i % 97 == 0 else user, f"f{9 - i % 10}", i // 4000, i))
+    rows += rows[:40]  # full copies, place included, stand first together
+    df = local_table(
+        spark, rows, "k long, u long, _file string, _block_start long, _row_id long"
+    ).repartition(7)
+    known = local_table(spark, [(u,) for u in range(0, 50, 2)] * 2 + [(None,)], "u long")
+    rules = [
+        R.first_occurrence("PK", ["k"], ["_file", "_block_start", "_row_id"], "repeated"),
+        R.references("FK", "u", "users", "u", "unknown"),
+    ]
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("key-rules", "")
+    flagged = apply_rules(df, rules, "2024-01-01", {"users": known}).flagged
+    assert not tracker.getJobIdsForGroup("key-rules")
+    spark.sparkContext._jsc.clearJobGroup()
+    assert "SortAggregate" not in flagged._jdf.queryExecution().executedPlan().toString()
+
+    first = {}
+    for k, _, *place in rows:
+        first[k] = min(first.get(k, tuple(place)), tuple(place))
+    wanted = sorted(
+        (k, -2 if u is None else u, *place, tuple(place) > first[k], u is not None and (u < 0 or u % 2 == 1))
+        for k, u, *place in rows
+    )
+    got = sorted((r.k, -2 if r.u is None else r.u, r._file, r._block_start, r._row_id, r._v_PK, r._v_FK) for r in flagged.collect())
+    assert got == wanted
+
+
+def test_place_of_a_row_ignores_the_task_that_read_it(spark):
+    """Row numbers of text feeds carry the task in their upper bits."""
+    task = 1 << 33
+    rows = [(1, "a", "b.csv", 0, 2), (1, "z", "a.csv", 100, 5 * task + 1), (1, "y", "a.csv", 100, 5 * task), (1, "c", "a.csv", 200, 0)]
+    df = local_table(spark, rows, "k long, v string, _file string, _block_start long, _row_id long")
+    rule = R.first_occurrence("PK", ["k"], ["_file", "_block_start", "_row_id"], "repeated")
+    result = apply_rules(df, [rule], "2024-01-01")
+    assert [r.v for r in result.clean.collect()] == ["y"]
+    empty = apply_rules(df.where("false"), [rule], "2024-01-01")
+    assert empty.clean.count() == 0 and empty.summary.first().rows_in == 0
