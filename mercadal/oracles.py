@@ -210,20 +210,21 @@ SALE_CONSTRAINTS = [
     ("CK", "ck", "'quantity not above zero'", "drop"),
 ]
 
-LINE_FLAGS = """quart AS (
+LINE_FLAGS = """placed AS (SELECT *, ROW_NUMBER() OVER () AS place FROM lineitem),
+    quart AS (
         SELECT quantile_cont(l_extendedprice, 0.25) AS q1,
                quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem),
     lim AS (SELECT q3 + 0.4 * (q3 - q1) AS threshold FROM quart),
     flagged AS (
-        SELECT (l_orderkey IS NULL OR l_linenumber IS NULL OR l_extendedprice IS NULL) AS f1,
-               (ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber) > 1) AS f2,
+        SELECT placed.*, (l_orderkey IS NULL OR l_linenumber IS NULL OR l_extendedprice IS NULL) AS f1,
+               (ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY place) > 1) AS f2,
                COALESCE(l_quantity < 5, FALSE) AS f3,
                COALESCE(l_returnflag NOT IN ('A', 'N'), FALSE) AS f4,
                COALESCE(l_shipdate > TIMESTAMP '2001-01-01 00:00:00', FALSE) AS f5,
                (l_suppkey IS NOT NULL AND NOT EXISTS (
                     SELECT 1 FROM supplier WHERE s_suppkey = l_suppkey AND s_acctbal > 0)) AS f6,
                COALESCE(l_extendedprice > threshold, FALSE) AS f8
-        FROM lineitem CROSS JOIN lim)"""
+        FROM placed CROSS JOIN lim)"""
 
 
 def _report(rules: list[tuple[str, str, str, str]]) -> str:
@@ -491,6 +492,10 @@ ORACLES: dict[str, str] = {
     "tiny_sums": """SELECT l_returnflag,
             ROUND(CAST(SUM(CAST(l_discount AS DECIMAL(4,2))) AS DOUBLE) / 1e7, 15) AS total, 3 * COUNT(*) AS n
         FROM lineitem GROUP BY l_returnflag""",
+    "dq_clean_lineitem": f"""WITH {LINE_FLAGS}
+        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
+               l_tax, l_returnflag, l_linestatus, l_shipdate
+        FROM flagged WHERE NOT (f1 OR f2 OR f3 OR f4 OR f5 OR f6)""",
     "dq_report_lineitem": f"WITH {LINE_FLAGS} {_report(LINE_RULES)}",
     "dedup_lineitem_first": """SELECT * EXCLUDE (rn) FROM (
             SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber
@@ -684,6 +689,26 @@ ORACLES: dict[str, str] = {
                CAST(SUM(user_id) FILTER (WHERE NOT lost) AS BIGINT) AS filas_salida,
                CAST(SUM(GREATEST(event_id - user_id, 0)) FILTER (WHERE NOT lost) AS BIGINT) AS filas_eliminadas
         FROM lines GROUP BY transformacion""",
+    "nested_catalog": " UNION ALL ".join(
+        f"SELECT '{t}' AS dataset, '{c}' AS campo, '{kind}' AS tipo, {need} AS obligatorio,"
+        f" {pk} AS clave_primaria, COUNT(*) FILTER (WHERE {c} IS NULL) AS nulos,"
+        f" COUNT(*) AS filas FROM {t}"
+        for t, c, kind, need, pk in FIELDS
+    ),
+    "quality_document": " UNION ALL ".join(
+        f"""SELECT '{name}' AS dataset, s.*, d.* FROM (
+            WITH {flags} SELECT COUNT(*) AS rows_in, COUNT(*) FILTER (WHERE NOT bad) AS rows_out,
+                MIN({col}) FILTER (WHERE NOT bad) AS min_value, MAX({col}) FILTER (WHERE NOT bad) AS max_value,
+                {r('100.0 * COUNT(*) FILTER (WHERE bad) / GREATEST(COUNT(*), 1)', 2)} AS reject_pct,
+                {r(f"CAST(SUM(CAST({col} AS DECIMAL(24,6))) FILTER (WHERE NOT bad) AS DOUBLE)"
+                   f" / COUNT({col}) FILTER (WHERE NOT bad)", 4)} AS mean_value
+            FROM (SELECT {col}, (f1 OR f2 OR f3 OR f4 OR f5 OR f6{more}) AS bad FROM flagged)) s,
+            (WITH {flags} {_report(rules)}) d"""
+        for name, flags, rules, col, more in (
+            ("eventos", EVENT_FLAGS, EVENT_RULES, "value", " OR f7"),
+            ("lineas", LINE_FLAGS, LINE_RULES, "l_extendedprice", ""),
+        )
+    ),
     "rule_catalog": f"""WITH {EVENT_FLAGS}, found AS ({_report(EVENT_RULES)}),
         names(id, nombre) AS (VALUES
             ('R01', 'Nulos obligatorios'), ('R02', 'Clave primaria duplicada'),

@@ -167,3 +167,14 @@ def observed_fields(df: DataFrame, dataset: str, required: list[str], key: str)
     return counts.select("_rows", F.explode(F.array(*entries)).alias("_f")).select(
         F.lit(dataset).alias("dataset"), "_f.*", F.col("_rows").alias("filas")
     )
+
+
+def observed_document(observed: DataFrame) -> DataFrame:
+    """One nested row of all stored tables: each with its rows and its fields.
+    ``observed`` has one row per column of a table (``observed_fields``)."""
+    members = [c for c in observed.columns if c not in ("dataset", "filas")]
+    per_table = observed.groupBy("dataset", "filas").agg(
+        F.sort_array(F.collect_list(F.struct(*members))).alias("campos")
+    )
+    tables = per_table.agg(F.sort_array(F.collect_list(F.struct("dataset", "filas", "campos"))).alias("tablas"))
+    return tables.select(F.lit(CATALOG_VERSION).alias("version"), "tablas", utc_now_text().alias("generado_utc"))

@@ -174,12 +174,41 @@ def star_line_rules() -> list[R.Rule]:
     ]
 
 
-def dq_report_lineitem(spark, sf):
+def _line_quality(spark, sf, stats_column=None):
     suppliers = table(spark, sf, "supplier").where("s_acctbal > 0")
     lines = star.numbered(spark, sf, "lineitem")
     return quality.apply_rules(
-        lines, star_line_rules(), LINES_AS_OF, refs={"suppliers": suppliers}
-    ).report
+        lines, star_line_rules(), LINES_AS_OF, refs={"suppliers": suppliers}, stats_column=stats_column
+    )
+
+
+def dq_report_lineitem(spark, sf):
+    return _line_quality(spark, sf).report
+
+
+def dq_clean_lineitem(spark, sf):
+    """Lines that pass every rule; of repeated lines the first in the file, by content."""
+    return _line_quality(spark, sf).clean.drop(*star.PLACE)
+
+
+def quality_document(spark, sf):
+    """Rules and statistics of events and order lines as one nested JSON
+    document, written and read back to one row per data set and rule."""
+    results = {
+        "eventos": _event_quality(spark, sf).stored(),
+        "lineas": _line_quality(spark, sf, "l_extendedprice").stored(),
+    }
+    document = writers.quality_document(
+        {name: result.report for name, result in results.items()},
+        {name: result.stats for name, result in results.items()},
+    )
+    path = scratch_path(spark, "reporte_calidad")
+    writers.write_jsonl(document, path)
+    rows = readers.read_nested(spark, path, document.schema, "conjuntos", "reglas")
+    return rows.select(
+        "dataset", *[f"estadisticas.{c}" for c in ("rows_in", "rows_out", "min_value", "max_value", "reject_pct")],
+        F.round("estadisticas.mean_value", 4).alias("mean_value"), *writers.REPORT_FIELDS,
+    )
 
 
 def dedup_lineitem_first(spark, sf):
@@ -529,6 +558,15 @@ def field_catalog(spark, sf):
     return catalog
 
 
+def nested_catalog(spark, sf):
+    """The catalog of all given tables as one nested JSON document, written and
+    read back to one row per column."""
+    document = governance.observed_document(field_catalog(spark, sf))
+    path = scratch_path(spark, "catalogo")
+    writers.write_jsonl(document, path)
+    return readers.read_nested(spark, path, document.schema, "tablas", "campos")
+
+
 def rule_catalog(spark, sf):
     """The rules that judge the events, under their catalog names, with the
     violations found; a rule the catalog does not know by id is named by its kind."""
@@ -719,13 +757,13 @@ QUERIES: dict[str, Query] = {
         sales_by_category_month, top_categories, country_category_pivot, monthly_running_total,
         monthly_chart, country_share, user_profile, conversion_funnel, behaviour_by_device,
         rfm_scores, rfm_segments, segment_counts, order_price_rank, supplier_balance_quintile,
-        dq_report_events, dq_clean_events, dq_stats, tiny_sums, dq_report_lineitem, dedup_lineitem_first,
+        dq_report_events, dq_clean_events, dq_stats, tiny_sums, dq_report_lineitem, dq_clean_lineitem, dedup_lineitem_first,
         constraint_report, fk_orphans, fk_valid, iqr_outliers, price_quartiles, lenient_cast,
         sales_summary, sales_by_part_type, top5_products, monthly_trend, weekday_sales,
         sales_by_region, sales_by_channel, region_channel_pivot, daily_report, sample_export, joined_sample_export,
         report_sections, report_contents, row_counts, csv_roundtrip, jsonl_roundtrip, partitioned_roundtrip,
         raw_archive, idempotent_load, surrogate_keys, lineage_summary, lineage_skipped, field_catalog,
-        rule_catalog, mcda_scores, mcda_sensitivity, mcda_matrix, math_kernel, scaling_report,
+        nested_catalog, quality_document, rule_catalog, mcda_scores, mcda_sensitivity, mcda_matrix, math_kernel, scaling_report,
         amdahl_fit, medallion_zone_rows, stamp_layouts, faulty_event_report, faulty_event_rows,
         faulty_star_report,
     )

@@ -156,3 +156,13 @@ def jdbc_options(
     else:
         options["query" if is_query else "dbtable"] = table_or_query
     return options
+
+
+def read_nested(spark: SparkSession, path: str, schema, array: str, inner: str) -> DataFrame:
+    """Rows of a nested JSON document: one per entry of the ``inner`` array within
+    each entry of ``array``, with the other fields of both."""
+    document = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    outer = document.select(F.explode(array).alias("_o"))
+    fields = outer.schema["_o"].dataType.fieldNames()
+    kept = [F.col(f"_o.{name}").alias(name) for name in fields if name != inner]
+    return outer.select(*kept, F.explode(f"_o.{inner}").alias("_i")).select(*[f for f in fields if f != inner], "_i.*")

@@ -60,7 +60,7 @@ def write_query_results(frames: Mapping[str, object], folder: str) -> list[str]:
 def write_quality_report(
     reports: Mapping[str, DataFrame], stats: Mapping[str, DataFrame], folder: str
 ) -> DataFrame:
-    """Long rule table as Parquet, and per data set one nested JSON document.
+    """Long rule table as Parquet, one nested JSON document per data set and one of all.
 
     Returns the long table. A report has one row per rule, so the nested
     arrays stay small.
@@ -83,9 +83,33 @@ def write_quality_report(
             .withColumn("generado_utc", utc_now_text())
         )
         document.write.mode("overwrite").json(f"{folder}/reporte_calidad/{name}")
+    kept = {name: stored.where(F.col("dataset") == name) for name in stats}
+    write_jsonl(quality_document(kept, stats).coalesce(1), f"{folder}/reporte_calidad_completo")
     return stored
 
 
+REPORT_FIELDS = ("rule", "description", "violations", "pct", "action")
+
+
+def quality_document(
+    reports: Mapping[str, DataFrame], stats: Mapping[str, DataFrame]
+) -> DataFrame:
+    """One nested row for all data sets: each with its statistics and its rules,
+    in the order given. A report has one row per rule, so the arrays stay small."""
+    parts = None
+    for at, (name, report) in enumerate(reports.items()):
+        rules = report.agg(F.sort_array(F.collect_list(F.struct(*REPORT_FIELDS))).alias("reglas"))
+        figures = stats[name].select(F.struct("*").alias("estadisticas"))
+        part = figures.join(F.broadcast(rules), how="cross").select(
+            F.struct(F.lit(at).alias("_at"), F.lit(name).alias("dataset"), "estadisticas", "reglas").alias("_part")
+        )
+        parts = part if parts is None else parts.unionByName(part)
+    whole = parts.agg(F.sort_array(F.collect_list("_part")).alias("_parts"))
+    return whole.select(
+        F.transform("_parts", lambda p: p.dropFields("_at")).alias("conjuntos"), utc_now_text().alias("generado_utc")
+    )
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with header; nulls and empty strings are both empty fields."""
     df.write.mode("overwrite").option("header", True).option("escape", '"').option(
