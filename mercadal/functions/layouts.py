@@ -22,39 +22,56 @@ from pyspark.sql import functions as F
 @dataclass(frozen=True)
 class Layout:
     """``pattern`` captures the parts of a whole value, ``iso`` puts them in the
-    order that a cast reads."""
+    order that a cast reads.
+
+    ``lengths`` (least, most) and ``marks`` (place, sign) follow from the pattern
+    and spare most values most patterns; ``plain`` says that ``iso`` changes nothing.
+    """
 
     name: str
     pattern: str
     iso: str
+    lengths: tuple[int, int] | None = None
+    marks: tuple[tuple[int, str], ...] = ()
+    plain: bool = False
 
     def stamp(self, text: Column) -> Column:
         """Zone-free timestamp of text in this layout, else null. A day that the
         calendar lacks is null as well."""
-        ordered = F.regexp_replace(text, self.pattern, self.iso)
-        return F.when(text.rlike(self.pattern), ordered.try_cast("timestamp_ntz"))
+        ordered = text if self.plain else F.regexp_replace(text, self.pattern, self.iso)
+        fits = F.lit(True)
+        if self.lengths:
+            least, most = self.lengths
+            fits = F.length(text).between(least, most + 2)  # $ also matches before a line's end
+        for place, sign in self.marks:
+            fits = fits & (F.substring(text, place, 1) == sign)
+        return F.when(fits & text.rlike(self.pattern), ordered.try_cast("timestamp_ntz"))
 
 
-# name, pattern and the places of year, month and day in it
+# name, pattern, the places of year, month and day in it, and a sign that it has
 _DATES = (
-    ("yyyy-MM-dd", r"([0-9]{4})-([0-9]{2})-([0-9]{2})", "$1-$2-$3"),
-    ("yyyy/MM/dd", r"([0-9]{4})/([0-9]{2})/([0-9]{2})", "$1-$2-$3"),
-    ("dd/MM/yyyy", r"([0-9]{2})/([0-9]{2})/([0-9]{4})", "$3-$2-$1"),
-    ("MM/dd/yyyy", r"([0-9]{2})/([0-9]{2})/([0-9]{4})", "$3-$1-$2"),
+    ("yyyy-MM-dd", r"([0-9]{4})-([0-9]{2})-([0-9]{2})", "$1-$2-$3", (5, "-")),
+    ("yyyy/MM/dd", r"([0-9]{4})/([0-9]{2})/([0-9]{2})", "$1-$2-$3", (5, "/")),
+    ("dd/MM/yyyy", r"([0-9]{2})/([0-9]{2})/([0-9]{4})", "$3-$2-$1", (3, "/")),
+    ("MM/dd/yyyy", r"([0-9]{2})/([0-9]{2})/([0-9]{4})", "$3-$1-$2", (3, "/")),
 )
 _SECONDS = "([0-9]{2}:[0-9]{2}:[0-9]{2}"
+# name, pattern and place of the clock, lengths of the whole value, and a sign
 _CLOCKS = (
-    (" HH:mm:ss", f" {_SECONDS})", " $4"),
-    ("THH:mm:ss", f"T{_SECONDS})Z?", " $4"),
-    (" HH:mm:ss.S", rf" {_SECONDS}\.[0-9]{{1,6}})", " $4"),
-    ("THH:mm:ss.S", rf"T{_SECONDS}\.[0-9]{{1,6}})Z?", " $4"),
-    ("", "()", " 00:00:00"),
+    (" HH:mm:ss", f" {_SECONDS})", " $4", (19, 19), ((11, " "),)),
+    ("THH:mm:ss", f"T{_SECONDS})Z?", " $4", (19, 20), ((11, "T"),)),
+    (" HH:mm:ss.S", rf" {_SECONDS}\.[0-9]{{1,6}})", " $4", (21, 26), ((11, " "),)),
+    ("THH:mm:ss.S", rf"T{_SECONDS}\.[0-9]{{1,6}})Z?", " $4", (21, 27), ((11, "T"),)),
+    ("", "()", " 00:00:00", (10, 10), ()),
 )
 LAYOUTS = tuple(
-    Layout(date + clock, f"^{days}{hours}$", order + rest)
-    for date, days, order in _DATES
-    for clock, hours, rest in _CLOCKS
-)
+    Layout(
+        date + clock, f"^{days}{hours}$", order + rest, lengths, (*marks, mark),
+        date == "yyyy-MM-dd" and clock.startswith(" "),
+    )
+    for date, days, order, mark in _DATES
+    for clock, hours, rest, lengths, marks in _CLOCKS
+)
 DEFAULT = LAYOUTS[0]
 
 

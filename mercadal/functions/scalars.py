@@ -53,8 +53,8 @@ def percent(part: Column, whole: Column, digits: int = 2) -> Column:
 
 def lenient_number(col: Column) -> Column:
     """Text to double; anything that is not a finite number becomes null."""
-    number = F.when(col.cast("string").rlike(NUMBER_PATTERN), col.try_cast("double"))
-    return F.when(F.abs(number) < F.lit(float("inf")), number)
+    number = col.try_cast("double")
+    return F.when(col.cast("string").rlike(NUMBER_PATTERN) & (F.abs(number) < F.lit(float("inf"))), number)
 
 
 def lenient_timestamp(col: Column) -> Column:
@@ -97,7 +97,12 @@ def whole_seconds(stamp: Column) -> Column:
 
 def labelled_id(prefix: str, number: Column, width: int) -> Column:
     """``prefix`` and the zero-padded number; wider numbers are kept whole."""
-    return F.format_string(f"{prefix}%0{width}d", number.cast("bigint"))
+    number = number.cast("bigint")
+    digits = number.cast("string")
+    padded = F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
+    # nulls and signs are left to the formatter, which takes several times as long
+    rest = F.format_string(f"{prefix}%0{width}d", number)
+    return F.when(number >= 0, F.concat(F.lit(prefix), padded)).otherwise(rest)
 
 
 def cents(col: Column) -> Column:

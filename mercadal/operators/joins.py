@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercadal.session import local_table
+from mercadal.session import local_table, materialize
 
 # A key with more than 1/PIECES of all rows is split in pieces of that size, at
 # any number of rows. There are fewer than PIECES such keys, and sketches of
@@ -119,13 +119,18 @@ def counted_join(
     keys: Sequence[str],
     payload: Sequence[str],
     spread_by: Sequence[str],
+    store: bool = False,
 ) -> DataFrame:
     """Left join as in ``lookup_join``, with the split known from exact counts.
 
     ``counts`` has one row per key of ``fact`` with its number of rows ``_n``,
     as the caller has it at hand. Keys of more than 1/PIECES of the rows, fewer
     than PIECES by arithmetic, are broadcast with their number of pieces; no job
-    runs before the result is asked for.
+    runs before the result is asked for. Keys that ``lookup`` lacks may be left out
+    of ``counts``: shares are then those among the others.
+
+    With ``store`` the lookup is written first, so that its size is known when the
+    join is planned: a small one is broadcast and ``fact`` is not shuffled at all.
     """
     keys, payload = list(keys), list(payload)
     total = counts.agg(F.sum("_n").alias("_total"))
@@ -155,6 +160,8 @@ def counted_join(
             "_copy",
         )
     )
+    if store:
+        copies = materialize(copies, "lookup")
     joined = rows.join(copies, matches("", "_c_") & (F.col("_piece") == F.col("_copy")), "left")
     return joined.select(*fact.columns, *[F.col(f"_p_{p}").alias(p) for p in payload])
 

@@ -47,11 +47,15 @@ def apply_rules(
     as_of,
     refs: Mapping[str, DataFrame] | None = None,
     stats_column: str | None = None,
+    store: bool = False,
 ) -> QualityResult:
     """Evaluates every rule on the raw rows and filters once at the end, so the
-    later copies of a key go even when its first copy is dropped by another rule."""
+    later copies of a key go even when its first copy is dropped by another rule.
+
+    With ``store`` the flagged rows are written once, at once; clean rows, report
+    and statistics all read them there."""
     place = tuple(c for c in PLACE_COLUMNS if c in df.columns)
-    context = Context(as_of, refs or {}, df, place)
+    context = Context(as_of, refs or {}, df, place, store)
     flagged = df
     for rule in rules:
         flagged = rule.flag_builder(flagged, context, rule.flag)
@@ -60,6 +64,8 @@ def apply_rules(
         if rule.action == DROP:
             bad = bad | F.col(rule.flag)
     flagged = flagged.withColumn("_rejected", bad)
+    if store:
+        flagged = materialize(flagged, "flagged")
     clean = flagged.where(~F.col("_rejected")).select(*df.columns)
     return QualityResult(flagged, clean, summarize(flagged, rules, stats_column), rules)
 

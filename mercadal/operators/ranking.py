@@ -97,7 +97,7 @@ def quintiles_by_measure(
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = ()
+    df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (), store: bool = False
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles of the non-null values (NaN is the
     largest of them).
@@ -106,7 +106,8 @@ def exact_quantiles(
     one row in all. ``by`` names the members of a closed domain (statuses,
     categories): a few rows per member are broadcast.
 
-    The values themselves are never shuffled or written. They are read as 64-bit
+    The values themselves are never shuffled, nor written but with ``store``,
+    which works their keys out once instead of in every scan. They are read as 64-bit
     keys that sort alike, and ``NARROW_BITS`` at a time the key of every wanted
     position is found: a histogram over the next bits of the values that share
     the bits found so far (counted map-side, at most 2^22 rows per
@@ -115,6 +116,8 @@ def exact_quantiles(
     by = list(by)
     values = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_value"))
     keyed = with_order_key(values, F.col("_value"), "_key").select(*by, "_key")
+    if store:
+        keyed = materialize(keyed, "keys")
 
     lead = F.shiftright("_key", 2 * NARROW_BITS)
     counts = keyed.groupBy(*by, lead.alias("_b")).agg(F.count(F.lit(1)).alias("_c"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from mercadal.functions.scalars import stamp_literal
 from mercadal.operators.joins import counted_join, cross_one_row
 from mercadal.operators.ranking import exact_quantiles
+from mercadal.session import materialize
 
 DROP, REPORT = "drop", "report"
 
@@ -25,12 +26,16 @@ class Context:
     """What a rule may need besides the rows being flagged: the reference
     instant, the frames that foreign keys point to, the raw frame, and the
     columns that tell a row's place. Rules that aggregate read the raw frame,
-    not the flags attached so far."""
+    not the flags attached so far. With ``store`` they write the keys that they
+    look up (those repeated or unknown) first: small ones are then broadcast and
+    the rows stay where they are; without it no job runs before the result is
+    asked for."""
 
     as_of: object
     refs: Mapping[str, DataFrame] = field(default_factory=dict)
     raw: DataFrame | None = None
     place: tuple[str, ...] = ()
+    store: bool = False
 
 
 @dataclass(frozen=True)
@@ -154,7 +159,10 @@ def first_occurrence(
             .agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
         )
         placed = with_place(df, splits, order)
-        joined = counted_join(placed, counts, counts.where("_n > 1"), keys, ["_first"], ["_place"])
+        repeated = counts.where("_n > 1")
+        if ctx.store:
+            counts = repeated = materialize(repeated, "repeated")
+        joined = counted_join(placed, counts, repeated, keys, ["_first"], ["_place"], ctx.store)
         later = F.coalesce(F.col("_place") > F.col("_first"), F.lit(False))
         return joined.withColumn(out, later).drop("_first", "_place")
 
@@ -177,7 +185,9 @@ def references(id_: str, column: str, ref: str, ref_column: str, description: st
             .join(known, F.col(column) == F.col("_known"), "left_anti")
             .withColumn("_orphan", F.lit(True))
         )
-        joined = counted_join(df, counts, missing, [column], ["_orphan"], ctx.place or raw.columns)
+        if ctx.store:
+            counts = missing = materialize(missing, "missing")
+        joined = counted_join(df, counts, missing, [column], ["_orphan"], ctx.place or raw.columns, ctx.store)
         return joined.withColumn(out, F.col("_orphan").isNotNull()).drop("_orphan")
 
     return Rule(id_, description, build, DROP, (column,), "reference")
@@ -187,7 +197,7 @@ def iqr_outlier(id_: str, column: str, description: str, factor: float = 3.0) ->
     """Flags values above Q3 + factor * IQR of the raw column; report only."""
 
     def build(df: DataFrame, ctx: Context, out: str) -> DataFrame:
-        limit = outlier_threshold(df if ctx.raw is None else ctx.raw, column, factor)
+        limit = outlier_threshold(df if ctx.raw is None else ctx.raw, column, factor, ctx.store)
         note = f"_n_{id_}"
         judged = cross_one_row(df, limit.withColumnRenamed("threshold", note))
         return judged.withColumn(out, F.coalesce(F.col(column) > F.col(note), F.lit(False)))
@@ -195,8 +205,8 @@ def iqr_outlier(id_: str, column: str, description: str, factor: float = 3.0) ->
     return Rule(id_, description, build, REPORT, (column,), "outlier")
 
 
-def outlier_threshold(df: DataFrame, column: str, factor: float = 3.0) -> DataFrame:
+def outlier_threshold(df: DataFrame, column: str, factor: float = 3.0, store: bool = False) -> DataFrame:
     """One row: ``threshold`` = Q3 + factor * (Q3 - Q1) with exact quartiles."""
-    quartiles = exact_quantiles(df, column, {"_q1": 0.25, "_q3": 0.75})
+    quartiles = exact_quantiles(df, column, {"_q1": 0.25, "_q3": 0.75}, store=store)
     spread = F.col("_q3") - F.col("_q1")
     return quartiles.select((F.col("_q3") + F.lit(factor) * spread).alias("threshold"))

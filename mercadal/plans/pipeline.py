@@ -13,7 +13,7 @@ from mercadal.functions.layouts import feed_layout
 from mercadal.operators.rules import Rule
 from mercadal.plans import analytics, gold, governance, silver
 from mercadal.schemas import CATEGORIES, EVENT_FEED, FUNNEL_STEPS, TRANSACTION_FEED
-from mercadal.session import local_table
+from mercadal.session import local_table, materialize
 from mercadal.sources import datagen, readers, writers
 
 
@@ -68,9 +68,10 @@ class _Steps:
 
     def run(
         self, origin: str, step: str, target: str, script: str, rows_in: int | None,
-        notes: str, action: Callable[[], DataFrame],
+        notes: str, action: Callable[[], DataFrame], started: float | None = None,
     ) -> tuple[DataFrame, int]:
-        started = time.monotonic()
+        """``started`` is given for a step that began before ``action``."""
+        started = time.monotonic() if started is None else started
         stored = action()
         seconds = time.monotonic() - started
         rows_out = stored.count()  # zero columns read: row counts of the footers
@@ -144,50 +145,61 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineRun:
         f"{cfg.root}/metadata/formatos",
     )
 
-    # silver: events need the users of the stored clean transactions
+    # silver: each feed is judged once, and its flagged rows are stored; events
+    # need the users of the clean transactions, so theirs are judged while those
+    # are written to their zone
     layout = ["year", "month"]
 
-    def refine(name: str, clean: DataFrame, rows_in: int, rules: str):
+    def refine(name: str, clean: DataFrame, rows_in: int, rules: str, started: float):
         target = f"{cfg.root}/silver/{name}"
         return steps.run(
             f"{cfg.root}/bronze/{name}.parquet", f"validacion_calidad_{rules}", target,
             "mercadal/plans/silver.py", rows_in, "por year/month",
-            lambda: writers.write_zone(clean, target, layout),
+            lambda: writers.write_zone(clean, target, layout), started,
         )
 
+    begun = time.monotonic()
     clean_txn, txn_quality = silver.validate_transactions(
-        raw_txn, cfg.as_of, cfg.transaction_rules, layout=txn_layout
+        raw_txn, cfg.as_of, cfg.transaction_rules, layout=txn_layout, store=True
     )
-    txn, txn_rows = refine("transacciones", clean_txn, txn_in, "R01-R08")
-    clean_evt, evt_quality = silver.validate_events(
-        raw_evt, txn, cfg.as_of, cfg.event_rules, layout=evt_layout
-    )
-    (evt, evt_rows), txn_quality = together(
-        lambda: refine("eventos", clean_evt, evt_in, "R01-R07"), txn_quality.stored
+
+    def refine_events():
+        begun = time.monotonic()
+        clean_evt, quality = silver.validate_events(
+            raw_evt, clean_txn, cfg.as_of, cfg.event_rules, layout=evt_layout, store=True
+        )
+        return refine("eventos", clean_evt, evt_in, "R01-R07", begun), quality
+
+    (txn, txn_rows), ((evt, evt_rows), evt_quality), txn_quality = together(
+        lambda: refine("transacciones", clean_txn, txn_in, "R01-R08", begun),
+        refine_events,
+        txn_quality.stored,
     )
     steps.log()
 
     # gold, while the event report is counted
-    def gold_step(name, table, step, origin, rows_in, partitioned=False):
+    def gold_step(name, build, step, origin, rows_in, partitioned=False):
         target = f"{cfg.root}/gold/{name}" + ("" if partitioned else ".parquet")
         return steps.run(
             origin, step, target, "mercadal/plans/gold.py", rows_in, "",
             lambda: writers.write_zone(
-                gold.stamped(table), target, layout if partitioned else None
+                gold.stamped(build()), target, layout if partitioned else None
             ),
         )[0]
 
     ventas, perfil, embudo, evt_quality = together(
         lambda: gold_step(
-            "ventas_categoria_mes", gold.ventas_categoria_mes(txn),
+            "ventas_categoria_mes", lambda: gold.ventas_categoria_mes(txn),
             "aggregation_ventas_categoria_mes", "silver/transacciones", txn_rows, True,
         ),
         lambda: gold_step(
-            "perfil_usuarios", gold.sorted_profiles(gold.perfil_usuarios(txn, evt)),
+            # stored, as a range sort reads its input twice
+            "perfil_usuarios",
+            lambda: gold.sorted_profiles(materialize(gold.perfil_usuarios(txn, evt), "perfil")),
             "join_perfil_usuarios", "silver/transacciones + silver/eventos", txn_rows + evt_rows,
         ),
         lambda: gold_step(
-            "conversion_funnel", gold.funnel(evt, cfg.funnel_steps),
+            "conversion_funnel", lambda: gold.funnel(evt, cfg.funnel_steps),
             "conversion_funnel_by_session", "silver/eventos", evt_rows,
         ),
         evt_quality.stored,

@@ -41,14 +41,15 @@ def validate_transactions(
     rules: Sequence[Rule] | None = None,
     strict: bool = False,
     layout: Layout = DEFAULT,
+    store: bool = False,
 ) -> tuple[DataFrame, QualityResult]:
     """Clean transactions with year and month, and the full result.
 
     A null quantity violates no rule; it is kept as null, or fails the run in
-    strict mode.
+    strict mode. ``store`` is that of ``apply_rules``.
     """
     result = apply_rules(
-        typed_transactions(bronze, layout), rules or transaction_rules(), as_of, stats_column="amount"
+        typed_transactions(bronze, layout), rules or transaction_rules(), as_of, stats_column="amount", store=store
     )
     quantity = F.col("quantity").cast("int")
     if strict:
@@ -68,6 +69,7 @@ def validate_events(
     as_of,
     rules: Sequence[Rule] | None = None,
     layout: Layout = DEFAULT,
+    store: bool = False,
 ) -> tuple[DataFrame, QualityResult]:
     """Clean events; their users must occur in the clean transactions."""
     result = apply_rules(
@@ -76,6 +78,7 @@ def validate_events(
         as_of,
         refs={"users": clean_transactions},
         stats_column="duration_sec",
+        store=store,
     )
     clean = result.clean.drop(*ORDINAL).withColumns(
         {"year": F.year("timestamp"), "month": F.month("timestamp")}

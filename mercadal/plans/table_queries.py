@@ -22,7 +22,7 @@ from mercadal.operators import aggregates, joins, quality, ranking, scaling, sco
 from mercadal.operators import rules as R
 from mercadal.plans import analytics, gold, governance, sales, star
 from mercadal.plans.feed_queries import faulty_event_report, faulty_event_rows, faulty_star_report, stamp_layouts
-from mercadal.plans.pipeline import PipelineConfig, run_pipeline
+from mercadal.plans.pipeline import PipelineConfig, run_pipeline, together
 from mercadal.plans.star import table
 from mercadal.schemas import RULE_NAMES, TRANSACTION_FEED, all_text, event_rules, transaction_rules
 from mercadal.session import local_table, scratch_path
@@ -711,8 +711,10 @@ def _star_feeds(spark, sf, root):
         F.col("value").alias("duration_sec"),
     )
     paths = f"{root}/seeds/transacciones.csv", f"{root}/seeds/eventos.jsonl"
-    writers.write_csv(txn.select(*TRANSACTION_FEED.fieldNames()), paths[0])
-    writers.write_jsonl(evt, paths[1])
+    together(
+        lambda: writers.write_csv(txn.select(*TRANSACTION_FEED.fieldNames()), paths[0]),
+        lambda: writers.write_jsonl(evt, paths[1]),
+    )
     return paths
 
 

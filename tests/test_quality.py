@@ -3,6 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from mercadal.functions.layouts import LAYOUTS
+from mercadal.functions.scalars import labelled_id
 from mercadal.operators import joins
 from mercadal.operators import rules as R
 from mercadal.operators.joins import anti_join, lookup_join, semi_join
@@ -302,3 +304,47 @@ def test_place_of_a_row_ignores_the_task_that_read_it(spark):
     assert [r.v for r in result.clean.collect()] == ["y"]
     empty = apply_rules(df.where("false"), [rule], "2024-01-01")
     assert empty.clean.count() == 0 and empty.summary.first().rows_in == 0
+
+
+def test_stored_rules_judge_once_and_leave_rows_in_place(spark):
+    """Clean rows and report read the same written flags, no rule is planned again
+    for them, and the rows are not shuffled to meet the few keys looked up."""
+    changes = [{"transaction_id": f"TXN-{i % 40:06d}", "amount": str(i + 1)} for i in range(60)]
+    changes += [{"transaction_id": None}, {"transaction_id": None}, {"amount": "x"}, {"amount": "1e999"}]
+    raw = feed(spark, TXN, TRANSACTION_COLUMNS, [{"transaction_id": f"TXN-9{i:05d}", **c} for i, c in enumerate(changes)])
+    lazy_clean, lazy = silver.validate_transactions(raw, AS_OF)
+    clean, result = silver.validate_transactions(raw, AS_OF, store=True)
+    assert sorted(map(str, clean.collect())) == sorted(map(str, lazy_clean.collect()))
+    assert result.report.collect() == lazy.report.collect()
+    assert result.stats.collect() == lazy.stats.collect()
+    for frame in (clean, result.flagged):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan and "RLIKE" not in plan
+
+    users = local_table(spark, [("U1",), ("U2",)], "user_id string")
+    visits = [{"event_id": f"EVT-{i:07d}", "user_id": u} for i, u in enumerate(["U1", None, "U7", "U2", "U7"])]
+    raw = feed(spark, EVT, EVENT_COLUMNS, visits)
+    lazy_clean, lazy = silver.validate_events(raw, users, AS_OF)
+    clean, result = silver.validate_events(raw, users, AS_OF, store=True)
+    assert sorted(map(str, clean.collect())) == sorted(map(str, lazy_clean.collect()))
+    assert result.report.collect() == lazy.report.collect() and result.stats.collect() == lazy.stats.collect()
+
+
+def test_ids_are_padded_as_the_formatter_does(spark):
+    values = [0, 7, 123456, 1234567, -5, -1234567, None, 2**63 - 1, -(2**63)]
+    frame = local_table(spark, [(v,) for v in values], "v long")
+    got = frame.select(labelled_id("T-", F.col("v"), 6).alias("a"), F.format_string("T-%06d", "v").alias("b")).collect()
+    assert [r.a for r in got] == [r.b for r in got]
+
+
+def test_stamps_are_told_apart_by_their_whole_pattern(spark):
+    """The cheap tests of length and signs lose no value that the pattern reads."""
+    texts = [
+        "2024-01-31 10:00:00", "2024-01-31 10:00:00\r\n", "2024-01-31T10:00:00Z\n", "2024-01-31 10:00:00.123456\n",
+        "2024-02-31 10:00:00", "31/01/2024", "01/31/2024\n", "2024/01/31T10:00:00.5Z\r\n", "2024-01-31\n\n", "2024-01-31 1:00:00", None, "",
+    ]
+    rows = local_table(spark, [(t,) for t in texts], "t string")
+    for layout in LAYOUTS:
+        ordered = F.regexp_replace("t", layout.pattern, layout.iso)
+        whole = F.when(F.col("t").rlike(layout.pattern), ordered.try_cast("timestamp_ntz"))
+        assert not rows.where(~layout.stamp(F.col("t")).eqNullSafe(whole)).count(), layout.name
