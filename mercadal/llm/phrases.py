@@ -6,12 +6,14 @@ whole texts) is mined with a lowered bound; its frequent phrases are the
 proposals. The pass over all documents counts every word, and every longer
 phrase whose two parts are proposals: that is the proposals and their negative
 border, counted exactly. Where a counted phrase proves frequent without having
-been proposed, the border has failed: such phrases join the proposals and a
-further pass counts what they newly allow, until nothing is added. The result
-depends on neither the sample nor the number of passes.
+been proposed, the border has failed. One more pass counts all that such phrases
+newly allow: it takes every phrase that it counts for frequent, so that longer
+ones around it are counted along with it. A phrase of that pass holds one that
+failed, so only the words around those are looked at. The result does not depend
+on the sample. The sample itself is mined a length at a time.
 
 Which phrases are proposed is told to the tasks by Bloom filters, one for each
-round, sized by the number of their phrases (``2**MAX_BITS`` bits at most). A
+round of the sample and one for the failures, sized by the number of their phrases (``2**MAX_BITS`` bits at most). A
 phrase that a filter takes for a proposal by mistake is counted without need;
 counts themselves are kept by the phrases, never by their hashes.
 
@@ -169,11 +171,37 @@ class Counted:
             keys = keys >> width
 
 
-def counted_phrases(ids: np.ndarray, hashes: np.ndarray, known: list[Filter], done: list[Filter] | None) -> Iterator[Counted]:
+def around(ids: np.ndarray, hashes: np.ndarray, failed: Filter) -> np.ndarray:
+    """The words from which a phrase can be made that holds one of ``failed``, in
+    their order, with -1 between their runs."""
+    near = np.zeros(len(ids) + 2 * LONGEST, dtype=bool)  # place p stands at p + LONGEST
+    word, live = hashes[ids], ids >= 0
+    head, hit = word, failed.has(hashes)[ids] & live
+    for length in range(1, LONGEST):
+        if length > 1:
+            live = live[:-1] & live[1:]
+            head = follow(head[: len(live)], word[length - 1 :])
+            hit = live & failed.has(head)
+        at = np.flatnonzero(hit) + LONGEST
+        for shift in range(length - LONGEST, LONGEST):
+            near[at + shift] = True
+    near = near[LONGEST : LONGEST + len(ids)] & (ids >= 0)
+    at = np.flatnonzero(near)
+    if not len(at):
+        return ids[:0]
+    return np.insert(ids[at], np.flatnonzero(np.diff(at) > 1) + 1, -1)
+
+
+def counted_phrases(
+    ids: np.ndarray, hashes: np.ndarray, known: list[Filter], done: list[Filter] | None, ahead: bool = False
+) -> Iterator[Counted]:
     """The phrases to be counted: both parts known, unless they were so in an
-    earlier pass. ``done`` is None in the first pass, which counts the words too."""
+    earlier pass. ``done`` is None in the first pass, which counts the words too.
+    With ``ahead`` a phrase that is counted is known to the longer ones."""
     if not len(hashes):
         return
+    if ahead:
+        ids = around(ids, hashes, known[-1])
     is_word = ids >= 0
     if done is None:
         yield Counted(ids, np.flatnonzero(is_word), 1, len(hashes))
@@ -191,7 +219,7 @@ def counted_phrases(ids: np.ndarray, hashes: np.ndarray, known: list[Filter], do
             return
         head = head[: len(live)].copy()
         head[at] = follow(head[at], word[at + length - 1])
-        live[at] = in_any(known, head[at])
+        live[at] = in_any(known, head[at]) | (ahead & ~old[at])
         old[at] &= in_any(done or [], head[at])
 
 
@@ -205,14 +233,16 @@ def phrase_hashes(words: list[np.ndarray], hashes: np.ndarray) -> np.ndarray:
     return head
 
 
-def count_texts(lang: str, texts: list[bytes], known: list[Filter], done: list[Filter] | None, buckets: int) -> pa.RecordBatch:
+def count_texts(
+    lang: str, texts: list[bytes], known: list[Filter], done: list[Filter] | None, ahead: bool, buckets: int
+) -> pa.RecordBatch:
     """Counts of some texts, dealt by the hash of the phrase: per bucket lengths
     and bytes of the phrases and their counts. Bucket -1 has the number of words."""
     ids, words = words_of(texts)
     hashes = word_hashes(words, seed_of(lang))
     dictionary = pa.array(words, pa.large_binary())
     phrases, number, bucket = [], [], []
-    for c in counted_phrases(ids, hashes, known, done):
+    for c in counted_phrases(ids, hashes, known, done, ahead):
         parts = [dictionary.take(pa.array(w)) for w in c.words]
         phrases.append(pc.binary_join_element_wise(*parts, SPACE) if len(parts) > 1 else parts[0])
         number.append(c.count)
@@ -254,10 +284,12 @@ def add_counts(least: int):
     return run
 
 
-def counts(docs: DataFrame, known: list[Filter], done: list[Filter] | None, least: int, buckets: int) -> DataFrame:
+def counts(
+    docs: DataFrame, known: list[Filter], done: list[Filter] | None, least: int, buckets: int, ahead: bool = False
+) -> DataFrame:
     """(lang, phrase, n) of the phrases with ``least`` occurrences in ``docs``; in
     the first pass also, with a null phrase, the number of words."""
-    shared = docs.sparkSession.sparkContext.broadcast((known, done))
+    shared = docs.sparkSession.sparkContext.broadcast((known, done, ahead))
 
     def run(batches):
         held: dict[str, list[bytes]] = {}
@@ -295,11 +327,16 @@ def not_known(known: list[Filter]) -> Column:
 
 def closed(docs: DataFrame, least: int, known: list[Filter], buckets: int) -> tuple[DataFrame, list[Filter]]:
     """All phrases with ``least`` occurrences or more, counted exactly, whatever
-    was known at the start; and the filters of all that can be extended."""
-    found, done = None, None
+    was known at the start; and the filters of all that can be extended.
+
+    From proposals on, two passes do: the second one counts ahead. From nothing
+    there is a pass for each length."""
+    found, done, ahead = None, None, bool(known)
     while True:
-        frequent = stored(counts(docs, known, done, least, buckets), "phrases")
+        frequent = stored(counts(docs, known, done, least, buckets, ahead and done is not None), "phrases")
         found = frequent if found is None else found.unionByName(frequent)
+        if ahead and done is not None:
+            return found, known
         failed = frequent.where(F.col("phrase").isNotNull() & (length_of(F.col("phrase")) < LONGEST))
         failed = stored(failed.where(not_known(known)) if known else failed, "failed")
         count = failed.count()

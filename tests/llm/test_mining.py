@@ -212,3 +212,41 @@ def test_scores_beyond_64_bits_are_exact(spark):
     totals = local_table(spark, [("en", big)], "lang string, n long")
     (row,) = phrases.scored(frequent, totals).collect()
     assert row.score == 2_000_000 * (big - 1) // (2 * big + 1) == 999_999
+
+
+def test_failures_around_failures_are_counted_in_the_second_pass(spark, monkeypatch):
+    """The sample knows half of the words, so failures of all lengths contain one another."""
+    rows = [("en", "the cat sat on the mat, new york city hall")] * 12
+    rows += [("en", f"n{i} the rare cat sat rare words on make. new hall york city. on the") for i in range(12)]
+    rows += [("en", "york city new hall\nthe rare cat on the mat")] * 12
+    docs, ends, plain, closed = table_of(spark, rows), [], phrases.counts, phrases.closed
+
+    def counted(docs, known, done, least, *rest):
+        if least == 10:
+            ends.append(done is not None)
+        return plain(docs, known, done, least, *rest)
+
+    def poorly_proposed(docs, least, known, buckets):
+        return closed(docs if known else docs.where("text LIKE '% hall' AND text LIKE 'the%'"), least, known, buckets)
+
+    monkeypatch.setattr(phrases, "SAMPLE_ONE_IN", 1)
+    monkeypatch.setattr(phrases, "SLICE", 300)
+    monkeypatch.setattr(phrases, "counts", counted)
+    monkeypatch.setattr(phrases, "closed", poorly_proposed)
+    want = brute_collocations(rows, 10)
+    assert any(len(w[0].split()) == 4 and "rare" in w[0] for w in want["en"])
+    assert as_dict(phrases.collocations(docs, 10)) == want
+    assert ends == [False, True]
+
+
+def test_words_around_failures_keep_their_order():
+    hashes = phrases.word_hashes([b"%d" % i for i in range(30)], 1)
+    failed = phrases.Filter(16, np.zeros(1 << 10, dtype=np.uint64))
+    pair = phrases.follow(hashes[12:13], hashes[13:14])
+    for at in np.concatenate(phrases.places(np.concatenate([hashes[3:4], pair]), 16)).tolist():
+        failed.table[at >> 6] |= np.uint64(1 << (at & 63))
+    ids = np.arange(30)
+    ids[5] = -1
+    got = phrases.around(ids, hashes, failed)
+    assert got.tolist() == [0, 1, 2, 3, 4, -1, 6, -1, 10, 11, 12, 13, 14, 15]
+    assert not len(phrases.around(ids[20:], hashes, failed)) and not len(phrases.around(ids[:0], hashes, failed))
